@@ -109,7 +109,7 @@ MARKDOWN = [
     ("<p>k <code>a*b</code></p>", "k `a*b`"),
     ("<blockquote><p>a</p><p>b</p></blockquote>c", "> a\n\n> b\n\nc"),
     ("<table><tr><th>a<th>b<tr><td>1<td>2</table>", "| a | b |\n| --- | --- |\n| 1 | 2 |"),
-    ("<a href='/x'><h3>t</h3></a>", "### [t](/x)"),
+    ("<a href='/x'><h3>t</h3></a>", "[### t](/x)"),
     ("<b></b>x<a href='/y'> </a>", "x"),
     ("<script>s</script><div>a</div><div>b</div>", "a\n\nb"),
 ]

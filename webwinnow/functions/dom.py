@@ -35,15 +35,13 @@ def node_selector(n: Column) -> Column:
 
 def pattern_selector(n: Column) -> Column:
     """Selector of the first content token found in the id or in a class, else null."""
-    choices = []
-    for token in K.PATTERN_TOKENS:
-        found = F.filter(n["classes"], lambda c, t=token: F.lower(c).contains(t))
-        choices.append(
-            F.when(F.lower(n["elem_id"]).contains(token), F.concat(n["tag"], F.lit("#"), n["elem_id"])).when(
-                ~n["foreign"] & (F.size(found) > 0), F.concat(n["tag"], F.lit("."), F.array_join(found, "."))
-            )
+    def choice(token):
+        found = F.filter(n["classes"], lambda c: F.lower(c).contains(token))
+        return F.when(F.lower(n["elem_id"]).contains(token), F.concat(n["tag"], F.lit("#"), n["elem_id"])).when(
+            ~n["foreign"] & (F.size(found) > 0), F.concat(n["tag"], F.lit("."), F.array_join(found, "."))
         )
-    return F.coalesce(*choices)
+
+    return F.coalesce(*map(choice, K.PATTERN_TOKENS))
 
 
 def parse_selector(selector: Column) -> Column:

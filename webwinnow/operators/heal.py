@@ -19,20 +19,23 @@ def heal_ladder(nodes: Column, tok_t: Column, gone: Column, selector: Column, co
     """
     def option(rank, chosen, node, words):
         return F.struct(
-            F.length(strip(words)).alias("size"), F.lit(-rank).alias("rank"),
+            F.length(strip(words)).alias("size"), (-rank).alias("rank"),
             chosen.alias("selector"), node.alias("node"), words.alias("text"),
         )
 
-    def rung(rank, rung_selector):
+    def rung(r):
         def measure(node):
             return let(
                 inner_text(tok_t, node, gone),
-                lambda words: F.when(words.isNotNull(), option(rank, F.lit(rung_selector), node, words)),
+                lambda words: F.when(words.isNotNull(), option(r["rank"], r["selector"], node, words)),
             )
 
-        found = first_match(nodes, parse_selector(F.lit(rung_selector)), gone)
-        return F.when(selector != rung_selector, let(found, measure))
+        return F.when(selector != r["selector"], let(first_match(nodes, r["css"], gone), measure))
 
-    rungs = [rung(rank, s) for rank, s in enumerate(K.HEAL_LADDER, 1)]
-    current = option(0, selector, container, text)
-    return F.when(F.length(strip(text)) < K.SHORT_FLOOR, F.array_max(F.array(current, *rungs))).otherwise(current)
+    ladder = F.array(*[
+        F.struct(F.lit(rank).alias("rank"), F.lit(s).alias("selector"), parse_selector(F.lit(s)).alias("css"))
+        for rank, s in enumerate(K.HEAL_LADDER, 1)
+    ])
+    current = option(F.lit(0), selector, container, text)
+    best = F.array_max(F.concat(F.array(current), F.transform(ladder, rung)))
+    return F.when(F.length(strip(text)) < K.SHORT_FLOOR, best).otherwise(current)

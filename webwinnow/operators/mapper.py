@@ -18,19 +18,17 @@ def _choice(selector: Column, confidence: float) -> Column:
     )
 
 
-def probe_length(nodes: Column, tok_t: Column, selector: str) -> Column:
-    """Trimmed text length of the first element that matches, null when none does."""
-    return let(
-        first_match(nodes, parse_selector(F.lit(selector))), lambda n: F.length(trimmed_text(tok_t, n))
-    )
+def semantic_container(nodes: Column, tok_t: Column) -> Column:
+    """First semantic selector whose first match holds enough text; later ones are not looked at."""
+    probes = F.array(*[
+        F.struct(F.lit(s).alias("selector"), parse_selector(F.lit(s)).alias("css")) for s in K.SEMANTIC_SELECTORS
+    ])
 
+    def probe(found, p):
+        size = let(first_match(nodes, p["css"]), lambda n: F.length(trimmed_text(tok_t, n)))
+        return F.coalesce(found, F.when(size >= K.MIN_CONTAINER_TEXT, p["selector"]))
 
-def semantic_container(nodes: Column, tok_t: Column) -> Column:
-    rule = None
-    for selector in K.SEMANTIC_SELECTORS:
-        hit = probe_length(nodes, tok_t, selector) >= K.MIN_CONTAINER_TEXT
-        rule = F.when(hit, selector) if rule is None else rule.when(hit, selector)
-    return rule
+    return F.aggregate(probes, F.lit(None).cast("string"), probe)
 
 
 def pattern_container(nodes: Column, tok_t: Column) -> Column:

@@ -6,6 +6,8 @@ structure lookup and, for pages that hold a frame, for the embed join.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from webwinnow import constants as K
@@ -33,114 +35,143 @@ RESULT_COLUMNS = (
 )
 
 
-def scanned(pages: DataFrame) -> DataFrame:
-    """Page scan plus titles and the challenge check; flagged pages lose their DOM (early exit)."""
+# Column expressions over fixed column names are built once per process.
+
+@cache
+def _scan_columns() -> dict[str, Column]:
     nodes, tok_t = _c("nodes"), _c("tok_t")
-    dom = scan_dom(pages).withColumns({
+    return {
         "html_title": tx.title_from_html(F.array_join("tok_h", "")),
         "anti_bot": anti_bot_error(
             document_title(nodes, tok_t), F.when(may_hold_phrase(tok_t), body_text(nodes, tok_t))
         ),
-    })
-    return dom.withColumn("nodes", F.when(_c("anti_bot").isNull() & _c("scan_error").isNull(), nodes))
+    }
+
+
+def scanned(pages: DataFrame) -> DataFrame:
+    """Page scan plus titles and the challenge check; flagged pages lose their DOM (early exit)."""
+    dom = scan_dom(pages).withColumns(_scan_columns())
+    return dom.withColumn("nodes", F.when(_c("anti_bot").isNull() & _c("scan_error").isNull(), _c("nodes")))
+
+
+@cache
+def _map_column() -> Column:
+    return F.when(_c("nodes").isNotNull(), mapper.map_container(_c("nodes"), _c("tok_t")))
 
 
 def mapped(dom: DataFrame) -> DataFrame:
     """Add selector, mapper_confidence and the container node the selector resolves to."""
-    found = mapper.map_container(_c("nodes"), _c("tok_t"))
-    return (
-        dom.withColumn("found", F.when(_c("nodes").isNotNull(), found))
-        .withColumns({"selector": _c("found.selector"), "mapper_confidence": _c("found.mapper_confidence")})
-        .drop("found")
-        .transform(resolved)
+    found = dom.withColumn("found", _map_column())
+    return resolved(
+        found.withColumns(
+            {"selector": _c("found.selector"), "mapper_confidence": _c("found.mapper_confidence")}
+        ).drop("found")
     )
 
 
+@cache
+def _container_columns() -> tuple[Column, Column]:
+    return parse_selector(_c("selector")), first_match(_c("nodes"), _c("css"))
+
+
 def resolved(df: DataFrame) -> DataFrame:
     """Add the container: the first node the selector matches."""
-    return (
-        df.withColumn("css", parse_selector(_c("selector")))
-        .withColumn("container", first_match(_c("nodes"), _c("css")))
-        .drop("css")
-    )
+    css, container = _container_columns()
+    return df.withColumn("css", css).withColumn("container", container).drop("css")
 
 
-def scored(df: DataFrame) -> DataFrame:
-    """Add ranked blocks, noise selectors and scorer confidence."""
-    return df.withColumn(
-        "blocks", scorer.ranked_blocks(_c("nodes"), _c("tok_t"), _c("container"))
-    ).withColumns({
+@cache
+def _score_columns() -> tuple[Column, dict[str, Column]]:
+    return scorer.ranked_blocks(_c("nodes"), _c("tok_t"), _c("container")), {
         "noise_selectors": scorer.noise_selectors(_c("blocks")),
         "scorer_confidence": scorer.confidence(_c("blocks")),
         "scored_blocks_count": F.size("blocks"),
-    })
+        "scored_blocks": scorer.stored_blocks(_c("blocks")),
+    }
 
 
-def pruned(df: DataFrame) -> DataFrame:
-    """Add the removed subtrees, the removal counts and the remaining text."""
-    return (
-        df.withColumn("noise_nodes", pruner.static_matches(_c("nodes"), _c("container")))
-        .withColumns({
+def scored(df: DataFrame) -> DataFrame:
+    """Add ranked blocks, noise selectors and scorer confidence."""
+    blocks, derived = _score_columns()
+    return df.withColumn("blocks", blocks).withColumns(derived)
+
+
+@cache
+def _prune_columns() -> list[dict[str, Column]]:
+    nodes, tok_t, container = _c("nodes"), _c("tok_t"), _c("container")
+    return [
+        {"noise_nodes": pruner.static_matches(nodes, container)},
+        {
             "pruned_static": pruner.static_count(_c("noise_nodes")),
             "static_gone": pruner.static_gone(_c("noise_nodes")),
             "sheet": F.transform("noise_selectors", parse_selector),
-        })
-        .withColumn(
-            "dynamic",
-            pruner.dynamic_prune(
-                _c("nodes"), _c("tok_t"), _c("container"), _c("static_gone"), _c("sheet")
-            ),
-        )
-        .withColumns({
+        },
+        {"dynamic": pruner.dynamic_prune(nodes, tok_t, container, _c("static_gone"), _c("sheet"))},
+        {
             "gone": F.coalesce(_c("dynamic.gone"), _c("static_gone")),
             "pruned_dynamic": F.coalesce(_c("dynamic.removed"), F.lit(0)),
-        })
-        .withColumn("raw_text", F.coalesce(inner_text(_c("tok_t"), _c("container"), _c("gone")), F.lit("")))
-        .drop("noise_nodes", "static_gone", "sheet", "dynamic")
-    )
+        },
+        {"raw_text": F.coalesce(inner_text(tok_t, container, _c("gone")), F.lit(""))},
+    ]
+
+
+def pruned(df: DataFrame) -> DataFrame:
+    """Add the removed subtrees, the removal counts and the remaining text."""
+    for columns in _prune_columns():
+        df = df.withColumns(columns)
+    return df.drop("noise_nodes", "static_gone", "sheet", "dynamic")
+
+
+@cache
+def _validation_columns() -> list[dict[str, Column]]:
+    stats = validator.container_stats(_c("nodes"), _c("tok_t"), _c("container"), _c("gone"), _c("raw_text"))
+    return [
+        {"stats": stats},
+        {"validation": validator.validation(_c("stats"), _c("blocks"))},
+        {
+            "validator_confidence": _c("validation.confidence"),
+            "validation_pass": _c("validation.pass_used"),
+            "validation_warning": _c("validation.warning"),
+        },
+    ]
 
 
 def validated(df: DataFrame) -> DataFrame:
-    """Add the validation struct of the pruned container."""
-    return (
-        df.withColumn(
-            "stats",
-            validator.container_stats(_c("nodes"), _c("tok_t"), _c("container"), _c("gone"), _c("raw_text")),
-        )
-        .withColumn("validation", validator.validation(_c("stats"), _c("blocks")))
-        .drop("stats")
-    )
+    """Add the validation struct of the pruned container and its confidence, pass and warning."""
+    for columns in _validation_columns():
+        df = df.withColumns(columns)
+    return df.drop("stats")
 
 
-def _read_out(df: DataFrame) -> DataFrame:
-    """Text of the pruned container, healed when thin, with the surviving embeds appended."""
+@cache
+def _text_columns() -> list[dict[str, Column]]:
     nodes, tok_t, gone = _c("nodes"), _c("tok_t"), _c("gone")
     alive = F.filter(
         F.coalesce(_c("all_embeds"), F.array().cast(EMBEDS)),
         lambda e: ~F.exists(gone, lambda r: (e["node_id"] >= r["id"]) & (e["node_id"] <= r["last"])),
     )
-    return (
-        df.withColumn(
-            "target", heal_ladder(nodes, tok_t, gone, _c("selector"), _c("container"), _c("raw_text"))
-        )
-        .withColumn("embeds", F.when(nodes.isNotNull(), alive))
-        .withColumns({
+    return [
+        {
+            "target": heal_ladder(nodes, tok_t, gone, _c("selector"), _c("container"), _c("raw_text")),
+            "embeds": F.when(nodes.isNotNull(), alive),
+        },
+        {
             "text_size": _c("target.size"),
             "merged_text": F.concat(_c("target.text"), embed_sections(_c("embeds"))),
-        })
-    )
+        },
+    ]
+
+
+def _read_out(df: DataFrame) -> DataFrame:
+    """Text of the pruned container, healed when thin, with the surviving embeds appended."""
+    for columns in _text_columns():
+        df = df.withColumns(columns)
+    return df
 
 
 def full_path(dom: DataFrame) -> DataFrame:
     """Map, score, prune, validate and read out."""
-    df = validated(pruned(scored(mapped(dom))))
-    df = df.withColumns({
-        "validator_confidence": _c("validation.confidence"),
-        "validation_pass": _c("validation.pass_used"),
-        "validation_warning": _c("validation.warning"),
-        "scored_blocks": scorer.stored_blocks(_c("blocks")),
-    })
-    return _read_out(df)
+    return _read_out(validated(pruned(scored(mapped(dom)))))
 
 
 PATH_COLUMNS = (
@@ -186,80 +217,100 @@ def cached_or_full(dom: DataFrame) -> DataFrame:
     return out.drop("hit", "served", "dom_nodes")
 
 
-def finished(df: DataFrame, as_of: str) -> DataFrame:
-    """Titles, confidence, Markdown, boundary wrap, quality columns, floors and errors."""
-    target, size = _c("target"), _c("text_size")
-    live = _c("nodes").isNotNull()
-    empty, thin = live & (size < K.EMPTY_FLOOR), live & (size >= K.EMPTY_FLOOR) & (size < K.SHORT_FLOOR)
-    df = df.withColumn("raw_html", F.coalesce(join_tokens(_c("tok_h"), target["node"], _c("gone")), F.lit("")))
-    df = df.withColumns({
-        "title": F.when(
-            live,
-            tx.first_filled(
-                _c("html_title"), tx.title_from_html(_c("raw_html")), tx.title_from_text(_c("merged_text")), _c("url")
+@cache
+def _finish_columns() -> list[dict[str, Column]]:
+    target, live = _c("target"), _c("nodes").isNotNull()
+    empty = live & (_c("text_size") < K.EMPTY_FLOOR)
+    titles = (
+        _c("html_title"), tx.title_from_html(_c("raw_html")), tx.title_from_text(_c("merged_text")), _c("url")
+    )
+    return [
+        {"raw_html": F.coalesce(join_tokens(_c("tok_h"), target["node"], _c("gone")), F.lit(""))},
+        {
+            "title": F.when(live, tx.first_filled(*titles))
+            .when(_c("anti_bot").isNotNull(), tx.first_filled(_c("html_title"), _c("url")))
+            .otherwise(""),
+            "md": F.when(
+                live & ~empty,
+                F.when(
+                    F.length("raw_html") > K.MARKDOWN_MIN_HTML,
+                    markdown(join_tokens(_c("tok_m"), target["node"], _c("gone"))),
+                ).otherwise(_c("merged_text")),
             ),
-        ).when(_c("anti_bot").isNotNull(), tx.first_filled(_c("html_title"), _c("url"))).otherwise(""),
-        "md": F.when(
-            live & ~empty,
-            F.when(
-                F.length("raw_html") > K.MARKDOWN_MIN_HTML,
-                markdown(join_tokens(_c("tok_m"), target["node"], _c("gone"))),
-            ).otherwise(_c("merged_text")),
-        ),
-        "confidence": scores.final_confidence(
-            _c("mapper_confidence"), _c("scorer_confidence"), _c("validator_confidence")
-        ),
-    })
-    df = df.withColumn("content", tx.wrap_boundary(_c("md"), _c("title"), _c("url"), F.lit(as_of)))
-    df = with_quality(df)
-    on_path = lambda c: F.when(live, c)
-    flag = lambda c: F.when(c, True)
-    bot = _c("anti_bot").isNotNull()
-    metadata = F.when(
-        live | bot,
-        F.struct(
-            F.when(bot, "").otherwise(target["selector"]).alias("selector"),
-            F.lit(K.EXTRACTOR).alias("extractor"),
-            F.when(live & _c("structure_cache_hit"), K.PIPELINE_CACHED).otherwise(K.PIPELINE_FULL).alias("pipeline"),
-            F.when(bot, 0.0).when(thin, F.least(_c("confidence"), F.lit(K.SOFT_CONFIDENCE_CAP)))
-            .otherwise(_c("confidence")).alias("confidence"),
-            *[on_path(_c(n)).alias(n) for n in (
-                "mapper_confidence", "scorer_confidence", "validator_confidence", "validation_pass",
-                "validation_warning", "scored_blocks_count",
-            )],
-            on_path(F.size("noise_selectors")).alias("noise_selectors_found"),
-            on_path(_c("pruned_static")).alias("pruned_static"),
-            on_path(_c("pruned_dynamic")).alias("pruned_dynamic"),
-            on_path(_c("pruned_static") + _c("pruned_dynamic")).alias("pruned_total"),
-            on_path(F.size("embeds")).alias("iframes_extracted"),
-            on_path(F.length("merged_text")).alias("text_length"),
-            F.lit(True).alias("content_aware"),
-            F.lit(None).cast("int").alias("fetch_ms"),
-            F.lit(None).cast("int").alias("parse_ms"),
-            on_path(_c("structure_cache_hit")).alias("structure_cache_hit"),
-            flag(empty).alias("empty_content"),
-            flag(thin).alias("low_content_healed"),
-            flag(thin).alias("low_content"),
-            flag(bot).alias("anti_bot_detected"),
-        ),
+            "confidence": scores.final_confidence(
+                _c("mapper_confidence"), _c("scorer_confidence"), _c("validator_confidence")
+            ),
+        },
+    ]
+
+
+@cache
+def _result_columns() -> dict[str, Column]:
+    target, size, live = _c("target"), _c("text_size"), _c("nodes").isNotNull()
+    bot, hit = _c("anti_bot").isNotNull(), _c("structure_cache_hit")
+    empty = live & (size < K.EMPTY_FLOOR)
+    thin = live & (size >= K.EMPTY_FLOOR) & (size < K.SHORT_FLOOR)
+    whole = live & (size >= K.SHORT_FLOOR)
+
+    def on_path(c):
+        return F.when(live, c)
+
+    metadata = F.struct(
+        F.when(bot, "").otherwise(target["selector"]).alias("selector"),
+        F.lit(K.EXTRACTOR).alias("extractor"),
+        F.when(live & hit, K.PIPELINE_CACHED).otherwise(K.PIPELINE_FULL).alias("pipeline"),
+        F.when(bot, 0.0)
+        .when(thin, F.least(_c("confidence"), F.lit(K.SOFT_CONFIDENCE_CAP)))
+        .otherwise(_c("confidence"))
+        .alias("confidence"),
+        *[on_path(_c(n)).alias(n) for n in (
+            "mapper_confidence", "scorer_confidence", "validator_confidence", "validation_pass",
+            "validation_warning", "scored_blocks_count",
+        )],
+        on_path(F.size("noise_selectors")).alias("noise_selectors_found"),
+        on_path(_c("pruned_static")).alias("pruned_static"),
+        on_path(_c("pruned_dynamic")).alias("pruned_dynamic"),
+        on_path(_c("pruned_static") + _c("pruned_dynamic")).alias("pruned_total"),
+        on_path(F.size("embeds")).alias("iframes_extracted"),
+        on_path(F.length("merged_text")).alias("text_length"),
+        F.lit(True).alias("content_aware"),
+        F.lit(None).cast("int").alias("fetch_ms"),
+        F.lit(None).cast("int").alias("parse_ms"),
+        on_path(hit).alias("structure_cache_hit"),
+        F.when(empty, True).alias("empty_content"),
+        F.when(thin, True).alias("low_content_healed"),
+        F.when(thin, True).alias("low_content"),
+        F.when(bot, True).alias("anti_bot_detected"),
     )
     error = (
         F.when(_c("scan_error").isNotNull(), _c("scan_error"))
         .when(bot, _c("anti_bot"))
-        .when(empty & _c("structure_cache_hit"), tx.fill(K.ERR_EMPTY_CACHED, size))
+        .when(empty & hit, tx.fill(K.ERR_EMPTY_CACHED, size))
         .when(empty, tx.fill(K.ERR_EMPTY, size))
         .when(thin, tx.fill(K.ERR_LOW, size))
     )
-    content = F.when(~live | empty, "").when(
-        thin, tx.wrap_low_content(_c("content"), _c("title"), _c("url"))
-    ).otherwise(_c("content"))
-    whole = live & ~empty & ~thin
-    df = df.withColumns({
-        "metadata": metadata, "error": error, "finished": live & ~empty, "finish_quality": _c("quality_score"),
-        "content": content, "raw_content": F.lit(""),
+    content = (
+        F.when(thin, tx.wrap_low_content(_c("content"), _c("title"), _c("url")))
+        .when(whole, _c("content"))
+        .otherwise("")
+    )
+    return {
+        "metadata": F.when(live | bot, metadata),
+        "error": error,
+        "finished": thin | whole,
+        "finish_quality": _c("quality_score"),
+        "content": content,
+        "raw_content": F.lit(""),
         **{n: F.when(whole, _c(n)) for n in ("language", "quality_score", "main_content", "has_schema")},
-    })
-    return df.select(
+    }
+
+
+def finished(df: DataFrame, as_of: str) -> DataFrame:
+    """Titles, confidence, Markdown, boundary wrap, quality columns, floors and errors."""
+    for columns in _finish_columns():
+        df = df.withColumns(columns)
+    df = df.withColumn("content", tx.wrap_boundary(_c("md"), _c("title"), _c("url"), F.lit(as_of)))
+    return with_quality(df).withColumns(_result_columns()).select(
         *RESULT_COLUMNS, "embeds", "noise_selectors", "scored_blocks", "finished", "finish_quality"
     )
 
