@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with *value* evaluated once per row (or per array element)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def fixed_columns(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Compute the named columns here, whatever is done with them later.
+
+    A filter on a derived column is otherwise pushed down by substituting
+    expressions, level by level, which multiplies a deep chain of them.  A
+    filter does not pass the generator used here.
+    """
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, F.inline(F.array(F.struct(*names))))

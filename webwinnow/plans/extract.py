@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from webwinnow import constants as K
 from webwinnow.functions import scores
 from webwinnow.functions import text as tx
+from webwinnow.functions.binding import fixed_columns
 from webwinnow.functions.dom import first_match, inner_text, join_tokens, parse_selector
 from webwinnow.functions.markdown import markdown
 from webwinnow.operators import mapper, pruner, scorer, validator
@@ -171,7 +172,8 @@ def _read_out(df: DataFrame) -> DataFrame:
 
 def full_path(dom: DataFrame) -> DataFrame:
     """Map, score, prune, validate and read out."""
-    return _read_out(validated(pruned(scored(mapped(dom)))))
+    read = _read_out(validated(pruned(scored(mapped(dom)))))
+    return fixed_columns(read, (*PATH_COLUMNS, "html_title", "anti_bot"))
 
 
 PATH_COLUMNS = (
@@ -204,7 +206,8 @@ def cached_or_full(dom: DataFrame) -> DataFrame:
     first = cached_path(
         dom.withColumns({"dom_nodes": _c("nodes"), "nodes": F.when(_c("stored_selector").isNotNull(), _c("nodes"))})
     )
-    first = first.select(*keep, "dom_nodes", F.struct(*PATH_COLUMNS).alias("hit")).withColumn(
+    first = first.withColumn("hit", F.struct(*PATH_COLUMNS)).select(*keep, "dom_nodes", "hit")
+    first = fixed_columns(first, ("hit", "html_title", "anti_bot", "dom_nodes")).withColumn(
         "served",
         _c("stored_selector").isNotNull()
         & (_c("dom_nodes").isNull() | ~is_starved(_c("hit.text_size"), _c("hit.merged_text"))),
