@@ -99,12 +99,28 @@ def descendants(nodes: Column, n: Column) -> Column:
     return F.slice(nodes, n["id"] + 2, n["last"] - n["id"])
 
 
-def first_match(nodes: Column, css: Column, gone: Column | None = None) -> Column:
-    """First node in document order that matches, or null."""
-    def wanted(n):
-        return matches(n, css) if gone is None else matches(n, css) & ~is_gone(n, gone)
+def around(items: Column, first: Column, last: Column, holes: Column, start: str, stop: str) -> Column:
+    """Elements ``first .. last`` (1-based) of *items* without the holes, by slices between them."""
+    def piece(i):
+        begin = F.when(i == 0, first).otherwise(F.get(holes, i - 1)[stop] + 1)
+        end = F.when(i == F.size(holes), last).otherwise(F.get(holes, i)[start] - 1)
+        return F.slice(items, begin, end - begin + 1)
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(holes)), piece))
 
-    return F.get(F.filter(nodes, wanted), F.lit(0))
+
+def remaining(nodes: Column, n: Column, gone: Column) -> Column:
+    """Descendants of *n* outside the removed subtrees, in one linear pass."""
+    holes = F.transform(
+        F.filter(gone, lambda r: (r["id"] > n["id"]) & (r["last"] <= n["last"])),
+        lambda r: F.struct((r["id"] + 1).alias("a"), (r["last"] + 1).alias("b")),
+    )
+    return let(holes, lambda h: around(nodes, n["id"] + 2, n["last"] + 1, h, "a", "b"))
+
+
+def first_match(nodes: Column, css: Column) -> Column:
+    """First node in document order that matches, or null."""
+    return F.get(F.filter(nodes, lambda n: matches(n, css)), F.lit(0))
 
 
 def topmost(found: Column, element_type: str) -> Column:
@@ -136,17 +152,12 @@ def join_tokens(tokens: Column, n: Column, gone: Column | None = None) -> Column
     whole = F.array_join(F.slice(tokens, n["s"], n["e"] - n["s"] + 1), "")
     if gone is None:
         return whole
-
-    def around(holes):
-        def piece(i):
-            start = F.when(i == 0, n["s"]).otherwise(F.get(holes, i - 1)["e"] + 1)
-            stop = F.when(i == F.size(holes), n["e"]).otherwise(F.get(holes, i)["s"] - 1)
-            return F.slice(tokens, start, stop - start + 1)
-
-        cut = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(holes)), piece)), "")
-        return F.when(F.size(holes) == 0, whole).otherwise(cut)
-
-    return let(F.filter(gone, lambda r: (r["s"] >= n["s"]) & (r["e"] <= n["e"])), around)
+    return let(
+        F.filter(gone, lambda r: (r["s"] >= n["s"]) & (r["e"] <= n["e"])),
+        lambda holes: F.when(F.size(holes) == 0, whole).otherwise(
+            F.array_join(around(tokens, n["s"], n["e"], holes, "s", "e"), "")
+        ),
+    )
 
 
 def rendered_text(joined: Column) -> Column:
@@ -191,11 +202,9 @@ def trimmed_text(tok_t: Column, n: Column, gone: Column | None = None) -> Column
 
 def link_text_length(nodes: Column, tok_t: Column, n: Column, gone: Column | None = None) -> Column:
     """Sum of the trimmed text lengths of the links inside a node."""
-    def wanted(a):
-        return a["tag"] == "a" if gone is None else (a["tag"] == "a") & ~is_gone(a, gone)
-
+    inside = descendants(nodes, n) if gone is None else remaining(nodes, n, gone)
     return F.aggregate(
-        F.filter(descendants(nodes, n), wanted),
+        F.filter(inside, lambda a: a["tag"] == "a"),
         F.lit(0),
         lambda total, a: total + F.length(trimmed_text(tok_t, a, gone)),
     )

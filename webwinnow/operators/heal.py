@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
 from webwinnow.functions.binding import let
-from webwinnow.functions.dom import first_match, inner_text, parse_selector
+from webwinnow.functions.dom import first_match, inner_text, parse_selector, remaining
 from webwinnow.functions.text import strip
 
 
@@ -17,6 +17,9 @@ def heal_ladder(nodes: Column, tok_t: Column, gone: Column, selector: Column, co
     Ties go to the current selector, then to the earlier rung; the current
     selector is not tried again.
     """
+    page = F.get(nodes, F.lit(0))
+    alive = F.concat(F.array(page), remaining(nodes, page, gone))
+
     def option(rank, chosen, node, words):
         return F.struct(
             F.length(strip(words)).alias("size"), (-rank).alias("rank"),
@@ -30,7 +33,7 @@ def heal_ladder(nodes: Column, tok_t: Column, gone: Column, selector: Column, co
                 lambda words: F.when(words.isNotNull(), option(r["rank"], r["selector"], node, words)),
             )
 
-        return F.when(selector != r["selector"], let(first_match(nodes, r["css"], gone), measure))
+        return F.when(selector != r["selector"], let(first_match(alive, r["css"]), measure))
 
     ladder = F.array(*[
         F.struct(F.lit(rank).alias("rank"), F.lit(s).alias("selector"), parse_selector(F.lit(s)).alias("css"))

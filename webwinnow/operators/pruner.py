@@ -7,12 +7,13 @@ from pyspark.sql import Column, functions as F
 from webwinnow import constants as K
 from webwinnow.functions.binding import let
 from webwinnow.functions.dom import (
-    descendants, inner_text, is_gone, join_tokens, matches, spans,
-    static_noise_index, text_content, topmost, trimmed_text,
+    descendants, inner_text, is_gone, join_tokens, matches, no_spans, remaining, spans, static_noise_index,
+    text_content, topmost, trimmed_text,
 )
 from webwinnow.functions.text import trim_js
 from webwinnow.schemas import NODE
 
+_NODE = NODE.simpleString()
 _MATCH = "struct<id:int,last:int,s:int,e:int,rule:int>"
 
 
@@ -57,37 +58,60 @@ def dynamic_prune(nodes: Column, tok_t: Column, container: Column, gone: Column,
     are judged (and counted) by their plain text content.
     """
     candidates = F.filter(
-        descendants(nodes, container),
-        lambda n: F.exists(sheet, lambda css: matches(n, css)) & ~is_gone(n, gone),
+        remaining(nodes, container, gone), lambda n: F.exists(sheet, lambda css: matches(n, css))
     )
     state = F.struct(
-        candidates.cast(f"array<{NODE.simpleString()}>").alias("left"), gone.alias("gone"), F.lit(0).alias("removed")
+        candidates.cast(f"array<{_NODE}>").alias("left"), gone.alias("gone"), F.lit(0).alias("removed")
     )
 
     def step(acc, css):
-        def apply(hits):
-            short = F.filter(
-                hits, lambda n: F.length(trimmed_text(tok_t, n, acc["gone"])) <= K.NOISE_TEXT_CAP
+        def plain_short(n):
+            return F.length(trim_js(text_content(join_tokens(tok_t, n, acc["gone"])))) <= K.NOISE_TEXT_CAP
+
+        marked = F.transform(
+            acc["left"],
+            lambda n: let(
+                matches(n, css),
+                lambda hit: F.struct(
+                    n.alias("n"),
+                    hit.alias("hit"),
+                    F.when(hit, F.length(trimmed_text(tok_t, n, acc["gone"])) <= K.NOISE_TEXT_CAP)
+                    .otherwise(False)
+                    .alias("short"),
+                ),
+            ),
+        )
+
+        def sweep(run, m):
+            """In document order: skip what lies in a cut, cut short hits, keep the rest."""
+            n = m["n"]
+
+            def now(end=run["end"], cut=run["cut"], left=run["left"], inner=run["inner"]):
+                return F.struct(end.alias("end"), cut.alias("cut"), left.alias("left"), inner.alias("inner"))
+
+            detached = F.when(m["hit"], plain_short(n)).otherwise(False)
+            return (
+                F.when(n["id"] <= run["end"], now(inner=run["inner"] + detached.cast("int")))
+                .when(m["short"], now(end=n["last"], cut=F.concat(run["cut"], spans(F.array(n)))))
+                .otherwise(now(left=F.concat(run["left"], F.array(n))))
+            )
+
+        start = F.struct(
+            F.lit(-1).alias("end"), no_spans().alias("cut"),
+            F.array().cast(f"array<{_NODE}>").alias("left"), F.lit(0).alias("inner"),
+        )
+
+        def commit(run):
+            kept = F.filter(acc["gone"], lambda r: ~is_gone(r, run["cut"]))
+            return F.struct(
+                run["left"].alias("left"),
+                F.when(F.size(run["cut"]) == 0, acc["gone"])
+                .otherwise(F.array_sort(F.concat(kept, run["cut"])))
+                .alias("gone"),
+                (acc["removed"] + F.size(run["cut"]) + run["inner"]).alias("removed"),
             )
 
-            def commit(cut):
-                inner = F.filter(
-                    hits,
-                    lambda n: F.exists(cut, lambda r: (n["id"] > r["id"]) & (n["id"] <= r["last"]))
-                    & (
-                        F.length(trim_js(text_content(join_tokens(tok_t, n, acc["gone"])))) <= K.NOISE_TEXT_CAP
-                    ),
-                )
-                kept = F.filter(acc["gone"], lambda r: ~is_gone(r, cut))
-                return F.struct(
-                    F.filter(acc["left"], lambda n: ~is_gone(n, cut)).alias("left"),
-                    F.array_sort(F.concat(kept, cut)).alias("gone"),
-                    (acc["removed"] + F.size(cut) + F.size(inner)).alias("removed"),
-                )
-
-            return let(spans(topmost(short, NODE.simpleString())), commit)
-
-        return let(F.filter(acc["left"], lambda n: matches(n, css)), apply)
+        return let(F.aggregate(marked, start, sweep), commit)
 
     untouched = F.struct(gone.alias("gone"), F.lit(0).alias("removed"))
     folded = F.aggregate(

@@ -344,7 +344,7 @@ def extract(
     from webwinnow.sources.structure import lookup_structure
 
     def prepared(rows):
-        return rows if structure is None else lookup_structure(rows, structure, as_of, ttl_hours)
+        return rows if structure is None else lookup_structure(rows, structure, as_of, ttl_hours, pages)
 
     cached = structure is not None
     if not embeds:

@@ -31,16 +31,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def lookup_join(
     left: DataFrame, right: DataFrame, key: str, spread_by: str,
-    hot_rows: int = 1_000_000, fan_out: int = 64,
+    hot_rows: int = 1_000_000, fan_out: int = 64, population: DataFrame | None = None,
 ) -> DataFrame:
     """Left join onto *right*, which has one row per *key*, without piling hot keys on one task.
 
     Keys with more than ``hot_rows`` left rows are found by a pre-aggregated
     count; their left rows spread over ``fan_out`` salts and only their right
     rows are repeated.  The broadcast list of hot keys is bounded: it holds at
-    most (left rows / hot_rows) keys.
+    most (left rows / hot_rows) keys.  ``population`` may name a table, cheaper
+    to read than *left*, that holds all of its keys.
     """
-    hot = left.groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot"))
+    hot = (left if population is None else population).groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot"))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(fan_out)).cast("int")).otherwise(0)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
     salted = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")

@@ -109,8 +109,10 @@ def requested_pages(urls: DataFrame, pages: DataFrame, cap: int | None = None) -
         .groupBy("url")
         .agg(F.max("page_id").alias("page_id"))
     )
-    chosen = lookup_join(urls, latest, "url", "pos")
-    return lookup_join(chosen, pages.select("page_id", "html"), "page_id", "pos").select("pos", "url", "page_id", "html")
+    chosen = lookup_join(urls, latest, "url", "pos").select("pos", "url", "page_id")
+    found = chosen.where(F.col("page_id").isNotNull()).join(pages.select("page_id", "html"), "page_id")
+    missing = chosen.where(F.col("page_id").isNull()).withColumn("html", F.lit(None).cast("string"))
+    return found.select("pos", "url", "page_id", "html").unionByName(missing)
 
 
 def explode_request(requests: DataFrame, urls: str | Column = "urls") -> DataFrame:

@@ -37,14 +37,20 @@ def latest_structure(structure: DataFrame) -> DataFrame:
 
 
 def lookup_structure(
-    pages: DataFrame, structure: DataFrame, as_of: str, ttl_hours: int = K.STRUCTURE_TTL_HOURS
+    pages: DataFrame, structure: DataFrame, as_of: str, ttl_hours: int = K.STRUCTURE_TTL_HOURS,
+    population: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of pages to their stored structure, as ``stored_*`` columns (null = miss)."""
+    """Left join of pages to their stored structure, as ``stored_*`` columns (null = miss).
+
+    ``population`` is the table *pages* was filtered from: hot URLs are counted
+    there, on the URL column alone.
+    """
     stored = fresh_structure(latest_structure(structure), as_of, ttl_hours).select(
         "key", *[F.col(name).cast(kind).alias(f"stored_{name}") for name, kind in STORED.items()]
     )
     keyed = pages.withColumn("key", structure_key(F.col("url")))
-    return lookup_join(keyed, stored, "key", "page_id").drop("key")
+    every = (pages if population is None else population).select(structure_key(F.col("url")).alias("key"))
+    return lookup_join(keyed, stored, "key", "page_id", population=every).drop("key")
 
 
 def structure_rows(extracted: DataFrame, as_of: str) -> DataFrame:
