@@ -140,8 +140,8 @@ NO_RESULTS = "No results found."
 # scan writes them, functions/dom.py and functions/markdown.py resolve them.
 # Groups that a pattern tests together are contiguous.
 T_BLOCK, T_PARA, T_BR, T_CELL, T_ROW, T_TABLE, T_NEWLINE = (
-    "﷐", "﷑", "﷒", "﷓", "﷔", "﷕", "﷖",
+    "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4", "\ufdd5", "\ufdd6",
 )
-T_HIDE, T_SHOW, T_SPACE, T_TAB = "﷗", "﷘", "﷙", "﷚"
-M_PARA, M_LINE, M_LIST, M_BREAK, M_ITEM = "﷛", "﷜", "﷝", "﷞", "﷟"
-M_OPEN, M_CLOSE, M_END = "﷠", "﷡", "﷢"
+T_HIDE, T_SHOW, T_SPACE, T_TAB = "\ufdd7", "\ufdd8", "\ufdd9", "\ufdda"
+M_PARA, M_LINE, M_LIST, M_BREAK, M_ITEM = "\ufddb", "\ufddc", "\ufddd", "\ufdde", "\ufddf"
+M_OPEN, M_CLOSE, M_END = "\ufde0", "\ufde1", "\ufde2"

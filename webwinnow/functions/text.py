@@ -2,46 +2,77 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
 from webwinnow.functions.binding import let
 
 # White space as Python's str.strip/split and as a browser's trim see it.
-_PY_SPACE = r"[\s\x1c-\x1f]"
-_JS_SPACE = r"[\t\n\x0b\f\r \u00a0\ufeff\p{Zs}\u2028\u2029]"
+_WIDE = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_PY_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85" + _WIDE
+_JS_SPACE = "\t\n\x0b\x0c\r \ufeff" + _WIDE
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _LINE_ENDS = r"\r\n|[\n\r\x0b\f\x1c-\x1e\u0085\u2028\u2029]"
 
 
 def strip(c: Column) -> Column:
     """Drop Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_PY_SPACE}+|{_PY_SPACE}+$", "")
+    return F.btrim(c, F.lit(_PY_SPACE))
 
 
 def trim_js(c: Column) -> Column:
     """Drop white space at both ends the way a browser's ``trim`` does."""
-    return F.regexp_replace(c, rf"^{_JS_SPACE}+|{_JS_SPACE}+$", "")
+    return F.btrim(c, F.lit(_JS_SPACE))
 
 
 def collapse(c: Column) -> Column:
     """Every white-space run becomes one space; ends are stripped."""
-    return strip(F.regexp_replace(c, rf"(?U){_PY_SPACE}+", " "))
+    return strip(F.regexp_replace(c, f"{SPACE}+", " "))
+
+
+def folded(c: Column) -> Column:
+    """Lower case in which every letter that a case-blind pattern accepts is the plain one."""
+    return F.lower(F.translate(c, "\u0130\u0131\u017f\u212a", "iisk"))
+
+
+def holds_pattern(c: Column, low: Column, pattern: str) -> Column:
+    """Case-blind pattern search in *c*, tried only where its longest literal is in ``low = folded(c)``."""
+    return low.contains(_literal(pattern)) & c.rlike("(?iU)" + pattern)
+
+
+def _literal(pattern: str) -> str:
+    """Longest run of letters (or the brace) that every match contains."""
+    fixed = re.sub(r"\[[^]]*\][+*]?|\([^)]*\)|\\[bsw]", " ", pattern)
+    return max(re.findall(r"[a-z]+|\{", fixed), key=len)
 
 
 def comma_count(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(","), F.lit("")))
 
 
-def words(c: Column) -> Column:
-    """White-space separated tokens; empty for blank text."""
-    return F.filter(F.split(c, rf"(?U){_PY_SPACE}+"), lambda w: w != "")
+def words(c: Column, limit: int = -1) -> Column:
+    """White-space separated tokens, the text beyond ``limit`` - 1 tokens in one piece; [''] for blank text."""
+    return F.split(strip(c), f"{SPACE}+", limit)
 
 
 def remove_boilerplate(c: Column) -> Column:
     """Drop the lines that match a boilerplate pattern."""
-    pattern = "(?iU)" + "|".join(K.BOILERPLATE)
-    kept = F.filter(F.split(c, "\n", -1), lambda line: ~line.rlike(pattern))
-    return F.when(c.rlike(pattern), F.array_join(kept, "\n")).otherwise(c)
+    def clean(line, low):
+        hit = F.lit(False)
+        for pattern in K.BOILERPLATE:
+            hit = hit | holds_pattern(line, low, pattern)
+        return ~hit
+
+    def kept(low):
+        lines = F.filter(F.split(c, "\n", -1), lambda line: let(folded(line), lambda l: clean(line, l)))
+        listed = F.lit(False)
+        for pattern in K.BOILERPLATE:
+            listed = listed | low.contains(_literal(pattern))
+        return F.when(listed, F.array_join(lines, "\n")).otherwise(c)
+
+    return let(folded(c), kept)
 
 
 def main_paragraphs(c: Column) -> Column:
@@ -60,7 +91,7 @@ def language(c: Column) -> Column:
         return votes(K.WORDS_ID) - votes(K.WORDS_EN)
 
     return let(
-        let(F.slice(words(F.lower(c)), 1, K.LANGUAGE_WINDOW), margin),
+        let(F.slice(words(F.lower(c), K.LANGUAGE_WINDOW + 1), 1, K.LANGUAGE_WINDOW), margin),
         lambda m: F.when(m > 0, "id").when(m < 0, "en").otherwise("unknown"),
     )
 

@@ -319,8 +319,6 @@ def finished(df: DataFrame, as_of: str) -> DataFrame:
 
 
 def _run(pages: DataFrame, as_of: str, cached: bool) -> DataFrame:
-    if "all_embeds" not in pages.columns:
-        pages = pages.withColumn("all_embeds", F.lit(None).cast(EMBEDS))
     dom = scanned(pages)
     if cached:
         return finished(cached_or_full(dom), as_of)
@@ -346,14 +344,14 @@ def extract(
     def prepared(rows):
         return rows if structure is None else lookup_structure(rows, structure, as_of, ttl_hours, pages)
 
-    cached = structure is not None
+    no_embeds = F.lit(None).cast(EMBEDS)
     if not embeds:
-        return _run(prepared(pages), as_of, cached)
+        return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, structure is not None)
     framed = has_frame(_c("html"))
-    plain = _run(prepared(pages.where(~framed)), as_of, cached)
+    plain = prepared(pages.where(~framed)).withColumn("all_embeds", no_embeds)
     texts = embed_texts(pages).withColumnRenamed("embeds", "all_embeds")
     with_frames = prepared(pages.where(framed)).join(texts, "page_id", "left")
-    return plain.unionByName(_run(with_frames, as_of, cached))
+    return _run(plain.unionByName(with_frames), as_of, structure is not None)
 
 
 def results(extracted: DataFrame) -> DataFrame:
