@@ -34,7 +34,10 @@ def collapse(c: Column) -> Column:
 
 def folded(c: Column) -> Column:
     """Lower case in which every letter that a case-blind pattern accepts is the plain one."""
-    return F.lower(F.translate(c, "\u0130\u0131\u017f\u212a", "iisk"))
+    special = F.lit(False)
+    for letter in "\u0130\u0131\u017f\u212a":
+        special = special | c.contains(letter)
+    return F.lower(F.when(special, F.translate(c, "\u0130\u0131\u017f\u212a", "iisk")).otherwise(c))
 
 
 def holds_pattern(c: Column, low: Column, pattern: str) -> Column:

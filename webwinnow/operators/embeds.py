@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from webwinnow import constants as K
@@ -59,21 +61,28 @@ def has_frame(html: Column) -> Column:
     return F.coalesce(F.lower(html).contains("<iframe"), F.lit(False))
 
 
-def embed_texts(pages: DataFrame) -> DataFrame:
+@cache
+def _target_columns() -> tuple[Column, Column]:
+    return document_title(F.col("nodes"), F.col("tok_t")), body_text(F.col("nodes"), F.col("tok_t"))
+
+
+def embed_texts(pages: DataFrame, web: DataFrame | None = None) -> DataFrame:
     """``(page_id, embeds)``: title and body text of each significant frame's page, in document order.
 
-    A frame whose source is not in the page table, or whose body text is 100
-    characters or less, yields nothing.
+    Frames load from *web* (by default the same page table).  A frame whose
+    source is not there, or whose body text is 100 characters or less, yields
+    nothing.
     """
+    title, text = _target_columns()
     framed = pages.select("page_id", "url", "html").where(has_frame(F.col("html")))
     frames = cut_lineage(page_frames(scan_dom(framed)))
     sources = frames.select(F.col("src").alias("url")).distinct().withColumn("pos", F.xxhash64("url"))
     targets = (
-        scan_dom(requested_pages(sources, pages).where(F.col("html").isNotNull()))
+        scan_dom(requested_pages(sources, pages if web is None else web).where(F.col("html").isNotNull()))
         .select(
             F.col("url").alias("src"),
-            document_title(F.col("nodes"), F.col("tok_t")).alias("title"),
-            body_text(F.col("nodes"), F.col("tok_t")).alias("text"),
+            title.alias("title"),
+            text.alias("text"),
         )
         .where(F.length("text") > K.MIN_EMBED_TEXT)
     )

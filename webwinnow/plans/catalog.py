@@ -11,6 +11,7 @@ from webwinnow.functions.scores import round3
 from webwinnow.operators import embeds, mapper, pruner, quality, report, scorer, search
 from webwinnow.operators.antibot import body_reason, title_reason
 from webwinnow.plans import extract as X
+from webwinnow.plans.session import spread
 from webwinnow.sources import sinks, structure
 from webwinnow.sources.pages import dom_nodes, read_pages, requested_pages, scan_dom
 
@@ -28,7 +29,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents")
+    return spread(_table(spark, sf_dir, "documents"))
 
 
 def _variants(*pairs: tuple[str, Column], value: str) -> Column:
@@ -245,6 +246,25 @@ def extract_digest(spark, sf_dir):
     return sinks.extract_digest(_request_items(spark, sf_dir))
 
 
+def search_envelopes(spark, sf_dir):
+    """Envelopes of every source as a query, of a query without hits, and of a missing query."""
+    asked = _documents(spark, sf_dir).select(
+        F.explode(F.array(_c("source"), F.concat(F.lit("no "), _c("source")), F.lit(""))).alias("query")
+    ).distinct()
+    return sinks.search_envelopes(asked, search.topk_hits(_hits(spark, sf_dir), 3))
+
+
+def requested_extract(spark, sf_dir):
+    """Every page asked for twice, and a URL without a page, extracted by position."""
+    pages = _pages(spark, sf_dir)
+    urls = pages.select(
+        "page_id",
+        _variants(("0", _c("url")), ("1", _c("url")), ("2", F.concat(_c("url"), F.lit("/missing"))), value="url"),
+    ).select((_c("page_id") * 3 + _c("variant").cast("long")).alias("pos"), "url")
+    rows = X.extract_requested(urls, pages, AS_OF, embeds=False)
+    return rows.select("pos", "url", "title", "error", _c("metadata.confidence").alias("confidence"))
+
+
 def _event_rows(spark, sf_dir):
     """Report rows from the events: an error event is a failed row."""
     return _table(spark, sf_dir, "events").select(
@@ -517,7 +537,7 @@ QUERIES = {
     for f in (
         page_titles, structure_keys, antibot_titles, schema_flag, doc_language, doc_quality, doc_boilerplate,
         doc_main_paragraphs, doc_title, doc_noise_gate, with_quality_documents, text_lengths, boundary_wrap,
-        boundary_gate, search_topk, search_digest, search_requests, requested_urls, request_cap, result_envelopes,
+        boundary_gate, search_topk, search_digest, search_envelopes, search_requests, requested_urls, requested_extract, request_cap, result_envelopes,
         extract_digest, category_report, category_join, overall_report, node_counts, article_text, scored_blocks,
         link_blocks, noise_blocks, scorer_confidence, static_prune, dynamic_prune, mapped_container, extract_full,
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,

@@ -22,7 +22,7 @@ from webwinnow.operators.embeds import EMBEDS, body_text, document_title, embed_
 from webwinnow.operators.heal import heal_ladder
 from webwinnow.operators.quality import with_quality
 from webwinnow.schemas import BLOCK_ROW
-from webwinnow.sources.pages import scan_dom
+from webwinnow.sources.pages import requested_pages, scan_dom
 
 _c = F.col
 STORED = {
@@ -331,13 +331,14 @@ def extract(
     structure: DataFrame | None = None,
     embeds: bool = True,
     ttl_hours: int = K.STRUCTURE_TTL_HOURS,
+    web: DataFrame | None = None,
 ) -> DataFrame:
     """Extract every page of ``(page_id, url, html)``; ``page_id`` is unique.
 
     ``structure`` is the stored structure table: hits take the cached path,
     and starved hits are healed through the full path.  ``as_of`` is the
-    timestamp written into results and used for expiry.  Rows fail alone: the
-    reason is in ``error``.
+    timestamp written into results and used for expiry.  Frames load from
+    ``web``, by default *pages*.  Rows fail alone: the reason is in ``error``.
     """
     from webwinnow.sources.structure import lookup_structure
 
@@ -349,11 +350,22 @@ def extract(
         return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, structure is not None)
     framed = has_frame(_c("html"))
     plain = prepared(pages.where(~framed)).withColumn("all_embeds", no_embeds)
-    texts = embed_texts(pages).withColumnRenamed("embeds", "all_embeds")
+    texts = embed_texts(pages, web).withColumnRenamed("embeds", "all_embeds")
     with_frames = prepared(pages.where(framed)).join(texts, "page_id", "left")
     return _run(plain.unionByName(with_frames), as_of, structure is not None)
 
 
+def extract_requested(
+    urls: DataFrame, pages: DataFrame, as_of: str, cap: int | None = None, **options
+) -> DataFrame:
+    """Extract the requested ``(pos, url)`` rows from the page table, one result per position.
+
+    A URL asked for twice gives two rows; one without a page gives an error row.
+    """
+    found = requested_pages(urls, pages, cap).select(_c("pos").cast("long").alias("page_id"), "url", "html")
+    return extract(found, as_of, web=pages, **options).withColumnRenamed("page_id", "pos")
+
+
 def results(extracted: DataFrame) -> DataFrame:
     """The public result columns."""
     return extracted.select(*RESULT_COLUMNS)

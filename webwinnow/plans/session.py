@@ -21,6 +21,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A file table whose text is costly to process, with at least one split per task slot.
+
+    Only an input with fewer splits than slots is shuffled, so it is small;
+    larger ones keep their splits.
+    """
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(slots) if table.rdd.getNumPartitions() < slots else table
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write *df* to the session's checkpoint folder; unchanged when none is configured."""
     spark = df.sparkSession

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from webwinnow import constants as K
-from webwinnow.plans.session import lookup_join
+from webwinnow.plans.session import lookup_join, spread
 from webwinnow.schemas import DOM_FIELDS, FRAME, NODE, PAGES
 from webwinnow.sources.dom_tokens import PageRows
 from webwinnow.sources.html_tree import parse_html
@@ -23,17 +23,11 @@ TOKENS_PER_BATCH = 200_000
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a page table (parquet, json or csv) with its fixed schema.
-
-    Parsing is CPU-bound, so an input with fewer splits than task slots is
-    spread over the slots; larger inputs keep their splits and never shuffle.
-    """
+    """Read a page table (parquet, json or csv) with its fixed schema."""
     reader = spark.read.schema(PAGES)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-    pages = reader.format(fmt).load(path)
-    slots = spark.sparkContext.defaultParallelism
-    return pages.repartition(slots) if pages.rdd.getNumPartitions() < slots else pages
+    return spread(reader.format(fmt).load(path))
 
 
 def _list(flat, ends):

@@ -38,6 +38,26 @@ def request_envelopes(requests: DataFrame, results: DataFrame, payload: str = "d
     )
 
 
+def search_envelopes(requests: DataFrame, results: DataFrame) -> DataFrame:
+    """``(query, envelope)``: one JSON text per search request; a missing query gives an error.
+
+    *results* are the top hits per query, at most 20 each.
+    """
+    hit = F.struct("position", F.struct("title", "url", "description", "position").alias("item"))
+    grouped = results.groupBy("query").agg(
+        F.transform(F.sort_array(F.collect_list(hit)), lambda x: x["item"]).alias("items")
+    )
+    done = F.to_json(
+        F.struct(F.lit(True).alias("success"), F.coalesce(_c("items"), F.array()).alias("results")), _JSON
+    )
+    failed = F.to_json(
+        F.struct(F.lit(False).alias("success"), F.lit("query required (string)").alias("error"))
+    )
+    return requests.join(grouped, "query", "left").select(
+        "query", F.when(F.coalesce(_c("query"), F.lit("")) == "", failed).otherwise(done).alias("envelope")
+    )
+
+
 def extract_digest(results: DataFrame) -> DataFrame:
     """``(request_id, digest)``: the items of a request as one Markdown text."""
     def filled(name, other):
