@@ -39,6 +39,8 @@ PAGES_HTML = {
     # dynamic prune
     "short_links": f'<main><ul><li><a href="/1">one</a></li><li><a href="/2">two</a></li><li>{T(61)}</li></ul><p>{LONG}</p></main>',
     "div_links": f'<main><div><a href="/1">a link to elsewhere one</a></div><div class="k"><div><a href="/2">a second link elsewhere</a></div><p>{LONG}</p></div></main>',
+    "numbered": f'<main><ol start="3"><li>{T(61)}</li><li><a href="/1">one</a></li><li>{T(62)}</li></ol><p>{LONG}</p></main>',
+    "odd_class": f'<main><div class="a :"><a href="/1">a link to elsewhere one</a></div><p>{LONG}</p></main>',
     "nested_div": '<main><section><div><p>a</p><div><a href="/1">linked text one two</a></div></div></section>' + f"<p>{LONG}</p></main>",
     # floors
     "empty": "<title>E</title>",
@@ -141,6 +143,16 @@ def test_dynamic_prune(got):
     assert "elsewhere" not in got["div_links"].content
 
 
+def test_item_numbers_close_up(got):
+    assert got["numbered"].metadata.pruned_dynamic == 1
+    assert f"3. {T(61)}\n4. {T(62)}\n" in got["numbered"].content
+
+
+def test_sanitised_selector_that_is_not_valid_css_removes_nothing(got):
+    assert got["odd_class"].noise_selectors == ["div.a."]
+    assert got["odd_class"].metadata.pruned_dynamic == 0 and "elsewhere" in got["odd_class"].content
+
+
 def test_dynamic_prune_counts_detached_matches(got):
     """The outer div goes with its inner div; both are counted."""
     m = got["nested_div"].metadata

@@ -29,7 +29,7 @@ def node_selector(n: Column) -> Column:
     return (
         F.when(n["elem_id"].isNotNull(), F.concat(n["tag"], F.lit("#"), n["elem_id"]))
         .when(n["foreign"] | (F.size(n["classes"]) == 0), n["tag"])
-        .otherwise(F.regexp_replace(F.concat(n["tag"], F.lit("."), classes), r"\.$", ""))
+        .otherwise(F.regexp_replace(F.concat(n["tag"], F.lit("."), classes), r"^([^.]*)\.$", "$1"))
     )
 
 
@@ -145,6 +145,18 @@ def no_spans() -> Column:
     return F.array().cast(_REMOVED)
 
 
+# What the character markers stand for.
+PRESERVED = ((K.T_NEWLINE, "\n"), (K.T_TAB, "\t"), (K.T_SPACE, " "))
+_RENDERED = PRESERVED + ((K.T_BR, "\n"), (K.T_CELL, "\t"), (K.T_ROW, "\n"))
+
+
+def put_back(c: Column, marks: tuple[tuple[str, str], ...]) -> Column:
+    """Replace single-character markers (plain replacement is far faster than ``translate``)."""
+    for mark, text in marks:
+        c = F.replace(c, F.lit(mark), F.lit(text))
+    return c
+
+
 # -- tokens --------------------------------------------------------------
 
 def join_tokens(tokens: Column, n: Column, gone: Column | None = None) -> Column:
@@ -163,29 +175,21 @@ def join_tokens(tokens: Column, n: Column, gone: Column | None = None) -> Column
 def rendered_text(joined: Column) -> Column:
     """Resolve text tokens to what a browser reports as inner text."""
     soft = f"[{K.T_BLOCK}-{K.T_PARA}]"
-    breaks = f"[{K.T_BLOCK}-{K.T_NEWLINE}]"
-    for pattern, put in (
-        (f"{K.T_HIDE}[^{K.T_SHOW}]*{K.T_SHOW}", ""),
-        (r"[\t\n\r\f][ \t\n\r\f]*| [ \t\n\r\f]+", " "),
-        # Spaces at line ends; the separators after a last cell and a last row.
-        (
-            f" (?={breaks}|$)|(?<={breaks}|^) |{K.T_CELL}(?= ?{K.T_ROW})|{K.T_ROW}(?= ?{K.T_TABLE})|{K.T_TABLE}",
-            "",
-        ),
-        (f"^{soft}+|{soft}+$", ""),
-        (f"(?={soft}){K.T_BLOCK}*{K.T_PARA}{soft}*", "\n\n"),
-        (f"{K.T_BLOCK}+", "\n"),
-    ):
-        joined = F.regexp_replace(joined, pattern, put)
-    return F.translate(
-        joined, K.T_BR + K.T_NEWLINE + K.T_CELL + K.T_ROW + K.T_TAB + K.T_SPACE, "\n\n\t\n\t "
-    )
+    shown = F.regexp_replace(joined, f"{K.T_HIDE}[^{K.T_SHOW}]*{K.T_SHOW}", "")
+    spaced = F.btrim(F.regexp_replace(shown, r"[\t\n\r\f][ \t\n\r\f]*| [ \t\n\r\f]+", " "), F.lit(" "))
+    # No spaces beside a break, no separator after a last cell or a last row.
+    lines = F.regexp_replace(spaced, f" ?([{K.T_BLOCK}-{K.T_NEWLINE}]) ?", "$1")
+    cells = F.regexp_replace(lines, f"{K.T_CELL}(?={K.T_ROW})|{K.T_ROW}(?={K.T_TABLE})|{K.T_TABLE}", "")
+    inner = F.btrim(cells, F.lit(K.T_BLOCK + K.T_PARA))
+    paras = F.regexp_replace(inner, f"(?={soft}){K.T_BLOCK}*{K.T_PARA}{soft}*", "\n\n")
+    joined = F.regexp_replace(paras, f"{K.T_BLOCK}+", "\n")
+    return put_back(joined, _RENDERED)
 
 
 def text_content(joined: Column) -> Column:
     """Resolve text tokens to plain text content (no layout)."""
-    drop = K.T_BLOCK + K.T_PARA + K.T_BR + K.T_CELL + K.T_ROW + K.T_TABLE + K.T_HIDE + K.T_SHOW
-    return F.translate(joined, K.T_NEWLINE + K.T_TAB + K.T_SPACE + drop, "\n\t ")
+    drop = (K.T_BLOCK, K.T_PARA, K.T_BR, K.T_CELL, K.T_ROW, K.T_TABLE, K.T_HIDE, K.T_SHOW)
+    return put_back(joined, PRESERVED + tuple((mark, "") for mark in drop))
 
 
 def inner_text(tok_t: Column, n: Column, gone: Column | None = None) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
+from webwinnow.functions.binding import let
+from webwinnow.functions.dom import PRESERVED, put_back
 from webwinnow.functions.text import strip
 
 _BODY = f"[^{K.M_END}]*{K.M_END}"
@@ -15,9 +17,15 @@ _RUN = f"(?:{_ANY}{_BODY})*"
 _GAP = f"(?: |{_ANY}{_BODY})+"
 _AT = f"(?={_ANY})"  # lets a run pattern skip plain text quickly
 
+_NUMBER = rf"^(.*?)(\d+)\. {K.M_END}$"
+
 # White space moves out of inline marks, then empty pairs go.
 _TIDY = (
-    (f"((?:{K.M_OPEN}{_BODY})+)({_GAP})|({_GAP})((?:{K.M_CLOSE}{_BODY})+)", "$2$1$4$3"),
+    (
+        f"((?:{K.M_OPEN}{_BODY})+)({_GAP})"
+        f"|(?= ?[{K.M_PARA}-{K.M_ITEM}{K.M_CLOSE}])({_GAP})((?:{K.M_CLOSE}{_BODY})+)",
+        "$2$1$4$3",
+    ),
     (f"{K.M_OPEN}{_BODY}{K.M_CLOSE}{_BODY}", ""),
 )
 _STEPS = (
@@ -39,9 +47,43 @@ _STEPS = (
 )
 
 
+def renumbered(tok_m: Column, nodes: Column, gone: Column) -> Column:
+    """Markdown tokens with the numbers of ordered items closed up over removed items."""
+    def in_ordered_list(n):
+        return (n["tag"] == "li") & (F.get(nodes, n["parent"])["tag"] == "ol")
+
+    def close_up(removed):
+        shifted = F.transform(
+            F.filter(nodes, in_ordered_list),
+            lambda n: F.struct(
+                n["s"].alias("s"),
+                F.size(
+                    F.filter(removed, lambda r: (r["parent"] == n["parent"]) & (r["id"] < n["id"]))
+                ).alias("by"),
+            ),
+        )
+
+        def rewrite(tokens, item):
+            token = F.get(tokens, item["s"] - 1)
+            number = F.regexp_extract(token, _NUMBER, 2).cast("int") - item["by"]
+            new = F.concat(
+                F.regexp_extract(token, _NUMBER, 1), number.cast("string"), F.lit(". " + K.M_END)
+            )
+            return F.concat(
+                F.slice(tokens, F.lit(1), item["s"] - 1), F.array(new),
+                F.slice(tokens, item["s"] + 1, F.size(tokens)),
+            )
+
+        fixed = F.aggregate(F.filter(shifted, lambda item: item["by"] > 0), tok_m, rewrite)
+        return F.when(F.size(removed) > 0, fixed).otherwise(tok_m)
+
+    heads = F.transform(gone, lambda r: F.get(nodes, r["id"]))
+    return let(F.filter(heads, in_ordered_list), close_up)
+
+
 def markdown(joined: Column) -> Column:
     """Resolve Markdown tokens: ATX headings, ``-`` bullets, at most one blank line, stripped."""
     for pattern, put in _STEPS:
         joined = F.regexp_replace(joined, pattern, put)
-    joined = F.translate(joined, K.T_SPACE + K.T_NEWLINE + K.T_TAB, " \n\t")
+    joined = put_back(joined, PRESERVED)
     return strip(F.regexp_replace(joined, r"\n{3,}", "\n\n"))

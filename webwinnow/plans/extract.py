@@ -15,7 +15,7 @@ from webwinnow.functions import scores
 from webwinnow.functions import text as tx
 from webwinnow.functions.binding import fixed_columns
 from webwinnow.functions.dom import first_match, inner_text, join_tokens, parse_selector
-from webwinnow.functions.markdown import markdown
+from webwinnow.functions.markdown import markdown, renumbered
 from webwinnow.operators import mapper, pruner, scorer, validator
 from webwinnow.operators.antibot import anti_bot_error, may_hold_phrase
 from webwinnow.operators.embeds import EMBEDS, body_text, document_title, embed_sections, embed_texts, has_frame
@@ -228,7 +228,10 @@ def _finish_columns() -> list[dict[str, Column]]:
         _c("html_title"), tx.title_from_html(_c("raw_html")), tx.title_from_text(_c("merged_text")), _c("url")
     )
     return [
-        {"raw_html": F.coalesce(join_tokens(_c("tok_h"), target["node"], _c("gone")), F.lit(""))},
+        {
+            "raw_html": F.coalesce(join_tokens(_c("tok_h"), target["node"], _c("gone")), F.lit("")),
+            "tok_m": renumbered(_c("tok_m"), _c("nodes"), _c("gone")),
+        },
         {
             "title": F.when(live, tx.first_filled(*titles))
             .when(_c("anti_bot").isNotNull(), tx.first_filled(_c("html_title"), _c("url")))
