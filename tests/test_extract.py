@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webwinnow.plans import extract as X
-from webwinnow.plans.extract import extract
+from webwinnow.plans.extract import extract, extract_requested
 from webwinnow.schemas import PAGES
 from webwinnow.sources.sinks import metrics
 
@@ -225,6 +225,20 @@ def test_partitioning_does_not_change_results(pages, extracted):
     assert again.exceptAll(extracted.select("page_id", "content", "metadata")).count() == 0
 
 
+def test_requested_urls_are_extracted_by_position(spark, pages):
+    """Frames load from the whole page table, though only the framing page is asked for."""
+    base = "https://h.example/"
+    urls = spark.createDataFrame(
+        [(0, base + "frame_ok"), (1, base + "nope"), (2, base + "frame_ok"), (3, base + "thin"), (4, base + "gone")],
+        "pos int, url string",
+    )
+    rows = extract_requested(urls, pages, AS_OF, cap=4).orderBy("pos").collect()
+    assert [(r.pos, r.error) for r in rows] == [
+        (0, None), (1, "Failed to open tab"), (2, None), (3, "Low content (15 chars) — returned what's available")]
+    assert rows[0].metadata.iframes_extracted == 1 and rows[0].content == rows[2].content
+    assert rows[1].content == "" and rows[1].metadata is None
+
+
 def test_full_path_has_no_shuffle_and_no_join(pages):
     plan = extract(pages, AS_OF, embeds=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan

@@ -21,6 +21,7 @@ from webwinnow.operators.antibot import anti_bot_error, may_hold_phrase
 from webwinnow.operators.embeds import EMBEDS, body_text, document_title, embed_sections, embed_texts, has_frame
 from webwinnow.operators.heal import heal_ladder
 from webwinnow.operators.quality import with_quality
+from webwinnow.plans.session import cut_lineage
 from webwinnow.schemas import BLOCK_ROW
 from webwinnow.sources.pages import requested_pages, scan_dom
 
@@ -366,6 +367,8 @@ def extract_requested(
     A URL asked for twice gives two rows; one without a page gives an error row.
     """
     found = requested_pages(urls, pages, cap).select(_c("pos").cast("long").alias("page_id"), "url", "html")
+    if options.get("embeds", True):
+        found = cut_lineage(found)  # read by the frame scan and by both branches of the main pass
     return extract(found, as_of, web=pages, **options).withColumnRenamed("page_id", "pos")
 
 
