@@ -354,7 +354,7 @@ def extract(
         return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, structure is not None)
     framed = has_frame(_c("html"))
     plain = prepared(pages.where(~framed)).withColumn("all_embeds", no_embeds)
-    texts = embed_texts(pages, web).withColumnRenamed("embeds", "all_embeds")
+    texts = cut_lineage(embed_texts(pages, web).withColumnRenamed("embeds", "all_embeds"))
     with_frames = prepared(pages.where(framed)).join(texts, "page_id", "left")
     return _run(plain.unionByName(with_frames), as_of, structure is not None)
 
