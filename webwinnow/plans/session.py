@@ -2,20 +2,42 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import webwinnow
+
 # Pages are wide rows, so Python batches are kept short; AQE sizes the shuffles.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of all executors, once per Spark context."""
+    context = spark.sparkContext
+    if getattr(ship, "sent_to", None) == context.applicationId:
+        return
+    root = Path(webwinnow.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="webwinnow-")) / "webwinnow.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    ship.sent_to = context.applicationId
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the recommended runtime settings to a session."""
+    """Apply the recommended runtime settings to a session and ship the package to its executors."""
+    ship(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
