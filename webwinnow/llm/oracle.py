@@ -13,7 +13,7 @@ t AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id
     AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
-  GROUP BY ALL, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
 ),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
