@@ -23,3 +23,40 @@ FROM s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s
 """
 
 SQL = {"op2_ngram_jaccard_join": OP2}
+
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>!]')) AS marks FROM documents
+),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 2 * source_size AS cap,
+    [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)] AS weight FROM s
+),
+r AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+      - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate, row_number() OVER o AS at
+  FROM w WINDOW o AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST)
+),
+f AS (SELECT *, (SELECT arg_min(rate, at) FROM r x WHERE x.rate * x.weight <= x.cap) AS level FROM r),
+t AS (
+  SELECT source, source_size, coalesce(least(level * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM f
+),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+k AS (
+  SELECT d.*, e.source_size, e.target, e.epochs, coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(d.source, '') AS name
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+),
+o AS (
+  SELECT *, -ln((CAST('0x' || substr(md5('mix:' || name), 1, 12) AS BIGINT)::DOUBLE + 0.5) / 281474976710656.0::DOUBLE)
+    / (1.0::DOUBLE / (1 + marks::DOUBLE / greatest(1, size))) AS key FROM k
+),
+p AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, name, size) AS through FROM o)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (epochs + CASE WHEN size > 0 AND through - size / 2.0::DOUBLE < target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM p
+"""
+
+SQL["op1_weighted_mix"] = OP1

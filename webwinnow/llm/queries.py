@@ -5,13 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from webwinnow.llm.common import table
+from webwinnow.llm.decontamination import contaminated
 from webwinnow.llm.jaccard_join import jaccard_components
+from webwinnow.llm.quality_rules import quality_verdicts
+from webwinnow.llm.secret_scan import secrets
+from webwinnow.llm.weighted_mix import mixed
+
+
+def op1_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).drop("source", "epochs")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_weighted_mix": op1_weighted_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op5_quality_rules": op5_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_decontamination": op10_decontamination,
 }
