@@ -37,10 +37,10 @@ w AS (
 r AS (
   SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
       - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
-    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate, row_number() OVER o AS at
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate, row_number() OVER o AS pos
   FROM w WINDOW o AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST)
 ),
-f AS (SELECT *, (SELECT arg_min(rate, at) FROM r x WHERE x.rate * x.weight <= x.cap) AS level FROM r),
+f AS (SELECT *, (SELECT arg_min(rate, pos) FROM r x WHERE x.rate * x.weight <= x.cap) AS level FROM r),
 t AS (
   SELECT source, source_size, coalesce(least(level * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM f
 ),
