@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",  # wide rows: filter before a shuffle
     "spark.sql.session.timeZone": "UTC",
 }
 
