@@ -20,15 +20,17 @@ from webwinnow.llm.common import text_bytes
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the labelled sample: rows per label, bytes of a row that may be learnt from, dictionary and chunk size.
+    """Bounds of the labelled sample: rows per label, bytes of a row that may be learnt from, dictionary and chunk size,
+    chunks per row that the dictionary is trained on.
 
     The rows are those of lowest hash; longer texts are left out of the sample (all texts are scored whole).
     """
 
     rows: int = 1500
     row_bytes: int = 20_000
-    dictionary: int = 64 << 10
-    chunk: int = 2048
+    dictionary: int = 112 << 10
+    chunk: int = 1024
+    pieces: int = 4
     level: int = 3
     cut: float = 0.7
 
@@ -53,7 +55,7 @@ class Model:
         return out
 
     def _packer(self, body: bytes) -> zstandard.ZstdCompressor:
-        words = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words = zstandard.ZstdCompressionDict(body)
         words.precompute_compress(level=self.fit.level)
         return zstandard.ZstdCompressor(level=self.fit.level, dict_data=words, write_checksum=False, write_content_size=False, write_dict_id=False)
 
@@ -81,9 +83,15 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _dictionary(texts: list[bytes], fit: Fit) -> bytes:
-    """Text of one kind up to the dictionary's size: the start of each sample in turn, an equal share for each."""
-    share = max(256, fit.dictionary // max(1, len(texts)))
-    return b"\n".join(t[:share] for t in texts)[-fit.dictionary :]
+    """A dictionary trained on chunks spread over the sample texts of one kind; too few of them are used as they are."""
+    chunks = []
+    for text in texts:
+        step = max(fit.chunk, len(text) // fit.pieces)
+        chunks += [text[a : a + fit.chunk] for a in range(0, len(text), step)][: fit.pieces]
+    try:
+        return zstandard.train_dictionary(fit.dictionary, chunks).as_bytes()
+    except zstandard.ZstdError:  # the trainer asks for more text than a tiny sample holds
+        return b"\n".join(chunks)[-fit.dictionary :] or b" "
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
@@ -99,7 +107,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col:
     rows.sort(key=lambda r: zlib.crc32(str(r["i"]).encode()))
     parts: dict[int, list[bytes]] = {y: [bytes(r["t"]) for r in rows if r["y"] == y] for y in (0, 1)}
     learn = {y: t[: len(t) // 2] for y, t in parts.items()}
-    model = Model(_dictionary(learn[1], fit) or b" ", _dictionary(learn[0], fit) or b" ", 0.0, 0.0, fit)
+    model = Model(_dictionary(learn[1], fit), _dictionary(learn[0], fit), 0.0, 0.0, fit)
     rest = [(t, y) for y in (0, 1) for t in parts[y][len(parts[y]) // 2 :]]
     if len({y for _, y in rest}) < 2:
         return Model(model.good, model.bad, 100.0, 0.0, fit)

@@ -60,3 +60,33 @@ FROM p
 """
 
 SQL["op1_weighted_mix"] = OP1
+
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS original FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN original IS NULL OR original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN original <> page_id THEN original END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)
+"""
+
+# A prefix is told by its text: turns with their lengths, so that different cuts differ.
+OP4 = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place, role, text
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+),
+p AS (
+  SELECT *, string_agg(md5(coalesce(role, '') || chr(31) || coalesce(text, '')), '') OVER (PARTITION BY conv_id ORDER BY place) AS path FROM t
+),
+e AS (SELECT conv_id, max(place) AS n, arg_max(path, place) AS path FROM p GROUP BY conv_id),
+k AS (
+  SELECT min(conv_id) AS conv_id FROM e WHERE path NOT IN (SELECT p.path FROM p JOIN e x USING (conv_id) WHERE p.place < x.n) GROUP BY path
+)
+SELECT conv_id, count(*) AS n_turns,
+  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+FROM t JOIN k USING (conv_id) GROUP BY conv_id
+"""
+
+SQL |= {"op3_warc_revisits": OP3, "op4_chat_snapshots": OP4}

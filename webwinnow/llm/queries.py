@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from webwinnow.llm.chat_snapshots import render_maximal
 from webwinnow.llm.common import table
+from webwinnow.llm.compression_classifier import score_quality
 from webwinnow.llm.decontamination import contaminated
 from webwinnow.llm.jaccard_join import jaccard_components
+from webwinnow.llm.licence_scan import licence_digest
 from webwinnow.llm.quality_rules import quality_verdicts
 from webwinnow.llm.secret_scan import secrets
+from webwinnow.llm.toxicity import toxic_grades
+from webwinnow.llm.warc_revisits import revisit_table
 from webwinnow.llm.weighted_mix import mixed
 
 
@@ -20,10 +25,30 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisit_table(table(spark, sf_dir, "pages"))
+
+
+def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_maximal(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
@@ -33,9 +58,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_weighted_mix": op1_weighted_mix,
-    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
-    "op5_quality_rules": op5_quality_rules,
-    "op9_secret_scan": op9_secret_scan,
-    "op10_decontamination": op10_decontamination,
+    run.__name__: run
+    for run in (
+        op1_weighted_mix, op2_ngram_jaccard_join, op3_warc_revisits, op4_chat_snapshots, op5_quality_rules,
+        op6_compression_classifier, op7_toxicity, op8_licence_scan, op9_secret_scan, op10_decontamination,
+    )
 }

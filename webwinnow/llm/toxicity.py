@@ -2,8 +2,8 @@
 
 ``P(grade <= k) = sigmoid(t_k - w.x)``: all thresholds share the weights *w* and stay in order, so the grades are
 levels of one scale. The labels only tell toxic from clean; the grade of a toxic labelled row is one, two or three by how
-often it holds words that toxic rows use far more than clean ones. A feature is the hash of a word, its value the
-logarithm of one plus its count.
+often it holds words that toxic rows use far more than clean ones. A feature is the hash of a word or of a word's first
+four bytes (word forms share their stem), its value the logarithm of one plus its count.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from webwinnow.llm.common import text_bytes, word_hashes, word_spans
+from webwinnow.llm.common import mix, text_bytes, word_hashes, word_spans
 from webwinnow.llm.decontamination import normalised
 
 GRADES = 4
@@ -45,9 +45,17 @@ class Model:
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Feature hashes, two per word (the word, and its first four bytes), and the first of each row."""
     data, offsets = normalised(*text_bytes(column))
     starts, ends, first = word_spans(data, offsets)
-    return word_hashes(data, starts, ends, lower=False).view(np.int64), first
+    features = np.empty(2 * len(starts), np.uint64)
+    features[0::2] = word_hashes(data, starts, ends, lower=False)
+    head = np.zeros(len(starts), np.uint64)
+    for k in range(4):
+        at = np.minimum(starts + k, max(0, len(data) - 1))
+        head = (head << np.uint64(8)) | np.where(starts + k < ends, data[at] if len(data) else 0, 0).astype(np.uint64)
+    features[1::2] = mix(head + np.uint64(1 << 40))
+    return features.view(np.int64), 2 * first
 
 
 def _counted(docs: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
@@ -131,7 +139,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: s
     for at, r in enumerate(sorted(rows, key=lambda r: r["row"]["i"])):
         x[at, np.searchsorted(words, np.array(r["words"], np.int64))] = np.log1p(np.array(r["counts"], float))
         hits = sum(c for w, c in zip(r["words"], r["counts"]) if w in strong)
-        y[at] = r["row"]["y"] * (1 + (hits >= 3) + (hits >= 5))
+        y[at] = r["row"]["y"] * (1 + (hits >= 6) + (hits >= 10))
     weights, thresholds = _regress(x, y, np.ones(len(rows)), fit.rounds)
     return Model(words, weights, thresholds)
 

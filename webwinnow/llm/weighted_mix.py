@@ -26,7 +26,7 @@ class Mix:
     share: float = 1.5
     most: int = 2
     seed: str = "mix"
-    bucket_rows: int = 20_000
+    bucket_rows: int = 4_000
 
 
 def words_in(text: Column) -> Column:
