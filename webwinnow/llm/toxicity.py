@@ -27,7 +27,7 @@ class Fit:
     toxic_rows: int = 3000
     clean_rows: int = 6000
     features: int = 512
-    rounds: int = 400
+    rounds: int = 600
     lift: float = 8.0
     share: float = 0.01
 
@@ -108,7 +108,7 @@ def _regress(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int) -> t
         np.add.at(gt, y + 1, per * up)
         np.add.at(gt, y, -per * down)
         gt = gt[1:-1]
-        gw = -(x.T @ (per * (up - down))) - 1e-3 * w * n
+        gw = -(x.T @ (per * (up - down))) - 1e-4 * w * n
         gf = np.concatenate([[gt.sum()], [gt[j:].sum() * steps[j - 1] for j in range(1, GRADES - 1)]])
         g = np.concatenate([gw, gf]) / n
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
