@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _c = F.col
+MEDIAN_RANGES = 1 << 16
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum in decimal arithmetic, so the result does not depend on row order."""
-    return F.sum(c.cast("decimal(38,6)")).cast("double")
+def steady_sum(c: Column) -> Column:
+    """Sum that does not depend on row order, in decimals of 12 places; a plain sum where a value or the total is too large for them."""
+    exact = c.try_cast("decimal(38,12)")
+    fits = F.count_if(c.isNotNull() & exact.isNull()) == 0
+    return F.coalesce(F.when(fits, F.try_sum(exact).cast("double")), F.sum(c.cast("double")))
 
 
 def result_rows(extracted: DataFrame) -> DataFrame:
@@ -43,7 +46,7 @@ def category_report(rows: DataFrame, category: str = "category", measures: tuple
     good = _c("status") == "success"
     ok = F.count_if(good)
     means = [
-        (F.coalesce(exact_sum(F.when(good, F.coalesce(_c(m), F.lit(0)))), F.lit(0.0)) / F.greatest(ok, F.lit(1)))
+        (F.coalesce(steady_sum(F.when(good, F.coalesce(_c(m), F.lit(0)))), F.lit(0.0)) / F.greatest(ok, F.lit(1)))
         .alias(f"avg_{m}")
         for m in measures
     ]
@@ -58,17 +61,27 @@ def category_report(rows: DataFrame, category: str = "category", measures: tuple
 def overall_report(rows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
     """One row per measure: minimum, maximum, mean and upper median of the successful rows.
 
-    The median is the element at ``n // 2`` of the sorted values.  Measures are
-    counts or rounded numbers, so its value histogram stays small.
+    The median is the element at ``n // 2`` of the sorted values. Equal values are counted first; the counts are dealt
+    to ranges of values, whose totals tell where the median lies, and only that range is summed up value by value.
     """
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _c(m).cast("double").alias("x")) for m in measures])
     long = rows.where(_c("status") == "success").select(F.inline(pairs)).where(_c("x").isNotNull())
-    return long.groupBy("measure").agg(
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-        (exact_sum(_c("x")) / F.count("x")).alias("mean"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)").alias("median"),
+    counts = long.groupBy("measure", "x").agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.groupBy("measure").agg(
+        F.min("x").alias("min"), F.max("x").alias("max"), (steady_sum(_c("x") * _c("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("total"),
     )
+    ranged = counts.join(F.broadcast(whole), "measure").withColumn(  # a row per measure
+        "range", F.floor(F.coalesce(F.try_divide(_c("x") - _c("min"), _c("max") - _c("min")), F.lit(0.0)) * MEDIAN_RANGES)
+    )
+    sums = ranged.groupBy("measure", "range").agg(F.sum("n").alias("in_range"), F.first("total").alias("total"))
+    before = F.sum("in_range").over(Window.partitionBy("measure").orderBy("range")) - _c("in_range")
+    middle = F.floor(_c("total") / 2)
+    held = sums.withColumn("before", before).where((_c("before") <= middle) & (middle < _c("before") + _c("in_range")))
+    held = held.select("measure", "range", "before", middle.alias("middle"))
+    through = _c("before") + F.sum("n").over(Window.partitionBy("measure", "range").orderBy("x"))
+    picked = ranged.join(F.broadcast(held), ["measure", "range"]).withColumn("through", through).where(_c("through") > _c("middle"))
+    median = picked.groupBy("measure").agg(F.min("x").alias("median"))
+    return whole.join(median, "measure").select("measure", "min", "max", "mean", "median")
 
 
 def pass_histogram(rows: DataFrame) -> DataFrame:

@@ -10,11 +10,17 @@ _c = F.col
 
 
 def search_requests(requests: DataFrame) -> DataFrame:
-    """Clamp ``limit`` (default 5, at most 20) and flag missing queries in ``error``."""
+    """Clamp ``limit`` (default 5, at most 20); a missing query or a limit that is no whole number is told in ``error``."""
     blank = F.coalesce(_c("query"), F.lit("")) == ""
+    text = F.trim(_c("limit").cast("string"))
+    # whole numbers of any length: the sign and whether more than two digits are left after zeros say enough
+    digits = F.regexp_extract(text, r"^[+-]?0*([0-9]*)$", 1)
+    number = F.when(F.length(digits) > 9, F.when(text.startswith("-"), -K.SEARCH_MAX).otherwise(K.SEARCH_MAX)).otherwise(
+        F.expr("try_cast(trim(cast(limit as string)) as int)"))
+    numeric = _c("limit").isNull() | text.rlike(r"^[+-]?[0-9]+$")
     return requests.withColumns({
-        "limit": F.least(F.coalesce(_c("limit").cast("int"), F.lit(K.SEARCH_DEFAULT)), F.lit(K.SEARCH_MAX)),
-        "error": F.when(blank, "query required (string)"),
+        "limit": F.least(F.coalesce(number, F.lit(K.SEARCH_DEFAULT)), F.lit(K.SEARCH_MAX)),
+        "error": F.when(blank, "query required (string)").when(~numeric, "limit must be a whole number"),
     })
 
 
@@ -26,7 +32,7 @@ def topk_hits(hits: DataFrame, limit: int | None = K.SEARCH_DEFAULT) -> DataFram
     below the shuffle, so a hot query sends at most 20 rows per input split.
     """
     order = Window.partitionBy("query").orderBy(F.desc("score"), "rank_in")
-    hits = hits.withColumn("score", F.coalesce(_c("score").cast("double"), F.lit(0.0)))
+    hits = hits.withColumn("score", F.coalesce(F.expr("try_cast(score as double)"), F.lit(0.0)))
     bound = min(int(limit), K.SEARCH_MAX) if limit is not None else K.SEARCH_MAX
     ranked = hits.withColumn("position", F.row_number().over(order)).where(_c("position") <= bound)
     if limit is None:

@@ -16,6 +16,7 @@ NODE = T.StructType([
     T.StructField("kids", T.ArrayType(T.StringType())),
     T.StructField("s", T.IntegerType()),
     T.StructField("e", T.IntegerType()),
+    T.StructField("number", T.LongType()),
 ])
 FRAME = T.StructType([
     T.StructField("node_id", T.IntegerType()),

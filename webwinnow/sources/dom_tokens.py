@@ -37,6 +37,7 @@ _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _PRESERVE = str.maketrans({" ": K.T_SPACE, "\n": K.T_NEWLINE, "\t": K.T_TAB})
 _HTML_TEXT = str.maketrans({"&": "&amp;", "<": "&lt;", ">": "&gt;", "\xa0": "&nbsp;"})
 _HTML_ATTR = str.maketrans({"&": "&amp;", '"': "&quot;", "\xa0": "&nbsp;"})
+_INTEGER = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]{1,12})(?![0-9])")
 _MD_ESCAPE = str.maketrans({"*": "\\*", "_": "\\_"})
 
 
@@ -100,11 +101,27 @@ def _text_edges(node, hidden):
     return "", ""
 
 
-def _markdown_edges(node, ctx, counters):
+def list_start(value):
+    """The first item number of an ordered list: the leading integer of *value* if it fits in 32 bits, else 1."""
+    found = _INTEGER.match(value or "")
+    number = int(found[1]) if found else 1
+    return number if abs(number) < 1 << 31 else 1
+
+
+def _item_number(node, counters):
+    """The number of an item of an ordered list, before pruning; none for other elements."""
+    if node.tag != "li" or node.foreign or node.parent is None or node.parent.tag != "ol":
+        return None
+    at = id(node.parent)
+    counters[at] = counters.get(at, list_start(node.parent.attrs.get("start")) - 1) + 1
+    return counters[at]
+
+
+def _markdown_edges(node, ctx, tables, numbers):
     """Opening and closing Markdown of an element, and the context of its children."""
     tag, prefix = node.tag, ctx.prefix
-    para = K.M_PARA + prefix + K.M_END
-    line = K.M_LINE + prefix + K.M_END
+    para = K.M_PARA + prefix + K.M_STOP
+    line = K.M_LINE + prefix + K.M_STOP
     if node.foreign:
         return "", "", ctx
     if tag in MD_INLINE:
@@ -122,27 +139,23 @@ def _markdown_edges(node, ctx, counters):
         alt = " ".join(node.attrs.get("alt", "").split())
         return (alt if ctx.flat else "![%s](%s)" % (alt, node.attrs.get("src", ""))), "", ctx
     if tag == "br":
-        return (" " if ctx.flat else K.M_BREAK + prefix + K.M_END), "", ctx
+        return (" " if ctx.flat else K.M_BREAK + prefix + K.M_STOP), "", ctx
     if ctx.flat:
         return (" ", " ", ctx) if tag in BLOCK or tag == "p" else ("", "", ctx)
     if tag in ("ul", "ol"):
         if ctx.in_item:
             return line, line, ctx
-        return K.M_LIST + prefix + K.M_END, para, ctx
+        return K.M_LIST + prefix + K.M_STOP, para, ctx
     if tag == "li":
-        bullet = "- "
-        if node.parent is not None and node.parent.tag == "ol":
-            count = counters.get(id(node.parent), 0)
-            counters[id(node.parent)] = count + 1
-            start = node.parent.attrs.get("start", "1")
-            bullet = "%d. " % ((int(start) if start.lstrip("-").isdigit() else 1) + count)
-        return K.M_ITEM + prefix + bullet + K.M_END, line, ctx.child(prefix=prefix + K.T_SPACE * len(bullet), in_item=True)
+        number = numbers.get(id(node))
+        bullet = "- " if number is None else "%d. " % number
+        return K.M_ITEM + prefix + bullet + K.M_STOP, line, ctx.child(prefix=prefix + K.T_SPACE * len(bullet), in_item=True)
     if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
         mark = "#" * int(tag[1]) + " "
         return para + K.M_OPEN + mark + K.M_END, K.M_CLOSE + K.M_END + para, ctx.child(flat=True)
     if tag == "blockquote":
         inner = ctx.child(prefix=prefix + ">" + K.T_SPACE)
-        return K.M_PARA + inner.prefix + K.M_END, para, inner
+        return K.M_PARA + inner.prefix + K.M_STOP, para, inner
     if tag in ("pre", "listing", "xmp"):
         fence = "```"
         opened = para + fence + K.T_NEWLINE + prefix
@@ -156,7 +169,7 @@ def _markdown_edges(node, ctx, counters):
         while table is not None and table.tag != "table":
             table = table.parent
         close = line
-        if table is not None and counters.setdefault(id(table), node) is node:
+        if table is not None and tables.setdefault(id(table), node) is node:
             width = sum(k.tag in ("td", "th") for k in node.kids)
             close = line + "|" + " --- |" * max(width, 1) + line
         return line + "|", close, ctx
@@ -171,7 +184,7 @@ class PageRows:
     """Flat output columns of a batch of pages."""
 
     NODE_FIELDS = (
-        "id", "last", "parent", "tag", "elem_id", "classes", "foreign", "role", "rel", "hidden", "kids", "s", "e",
+        "id", "last", "parent", "tag", "elem_id", "classes", "foreign", "role", "rel", "hidden", "kids", "s", "e", "number",
     )
     FRAME_FIELDS = ("node_id", "src", "width", "height")
 
@@ -196,7 +209,9 @@ class PageRows:
 
     def add_page(self, root, url):
         n, base_n, base_t = self.nodes, len(self.nodes["id"]), len(self.t)
+        tables: dict = {}
         counters: dict = {}
+        numbers: dict = {}
         work = [(root, -1, Context(), None)]
         while work:
             node, parent, ctx, closing = work.pop()
@@ -213,7 +228,8 @@ class PageRows:
             hidden = ctx.hidden or _hides(node)
             row, me = len(n["id"]), len(n["id"]) - base_n
             t_open, t_close = _text_edges(node, hidden)
-            m_open, m_close, inner = _markdown_edges(node, ctx, counters)
+            numbers[id(node)] = number = _item_number(node, counters)
+            m_open, m_close, inner = _markdown_edges(node, ctx, tables, numbers)
             h_open = "<" + tag + "".join(' %s="%s"' % (k, v.translate(_HTML_ATTR)) for k, v in attrs.items()) + ">"
             self._token(t_open, h_open, m_open)
             kids = []
@@ -222,7 +238,7 @@ class PageRows:
             for field, value in zip(
                 self.NODE_FIELDS,
                 (me, me, parent, tag, attrs.get("id") or None, (attrs.get("class") or "").split(), node.foreign,
-                 attrs.get("role"), attrs.get("rel"), hidden, kids, len(self.t) - base_t, len(self.t) - base_t),
+                 attrs.get("role"), attrs.get("rel"), hidden, kids, len(self.t) - base_t, len(self.t) - base_t, number),
             ):
                 n[field].append(value)
             if tag == "iframe":
