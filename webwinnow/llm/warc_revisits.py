@@ -36,7 +36,7 @@ class Archive:
     """Payloads of at least ``least`` bytes are deduplicated; an archive file holds at most ``records`` records."""
 
     least: int = 1000
-    records: int = 2000
+    records: int = 500
 
 
 def _header(name: str, value: Column) -> Column:
@@ -103,7 +103,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
                     values = [v.strip("<>") if v and n in ("record_id", "refers_to") else v for n, v in zip(_HEADERS, values)]
                     rows.append([*values, len(payload), hashlib.sha1(payload).hexdigest()] + [payload] * payloads)
                     held += len(payload) * payloads + 400
-                    if held > 8 << 20:
+                    if held > 2 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                         rows, held = [], 0
                 if rows:
