@@ -32,6 +32,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.webwinnow.readSplits", cpus)  # the tables have one row group each
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per expression
         .getOrCreate()
     )

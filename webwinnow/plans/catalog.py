@@ -12,6 +12,7 @@ from webwinnow.operators import embeds, mapper, pruner, quality, report, scorer,
 from webwinnow.operators.antibot import body_reason, title_reason
 from webwinnow.plans import extract as X
 from webwinnow.plans.session import spread
+from webwinnow.schemas import BLOCK_ROW
 from webwinnow.sources import sinks, structure
 from webwinnow.sources.pages import dom_nodes, read_pages, requested_pages, scan_dom
 
@@ -261,7 +262,7 @@ def requested_extract(spark, sf_dir):
         "page_id",
         _variants(("0", _c("url")), ("1", _c("url")), ("2", F.concat(_c("url"), F.lit("/missing"))), value="url"),
     ).select((_c("page_id") * 3 + _c("variant").cast("long")).alias("pos"), "url")
-    rows = X.extract_requested(urls, pages, AS_OF, embeds=False)
+    rows = X.extract_requested(urls, pages, AS_OF)
     return rows.select("pos", "url", "title", "error", _c("metadata.confidence").alias("confidence"))
 
 
@@ -429,27 +430,27 @@ def validation(spark, sf_dir):
 
 
 def final_confidence(spark, sf_dir):
-    rows = X.extract(_pages(spark, sf_dir), AS_OF, embeds=False)
+    rows = X.extract(_pages(spark, sf_dir), AS_OF)
     m = _c("metadata")
     return rows.select("page_id", m["confidence"].alias("confidence"))
 
 
 def markdown(spark, sf_dir):
-    rows = X.extract(_pages(spark, sf_dir), AS_OF, embeds=False)
+    rows = X.extract(_pages(spark, sf_dir), AS_OF)
     return rows.select("page_id", quality.main_body(_c("content")).alias("markdown"))
 
 
 def pass_histogram(spark, sf_dir):
-    rows = report.result_rows(X.extract(_pages(spark, sf_dir), AS_OF, embeds=False))
+    rows = report.result_rows(X.extract(_pages(spark, sf_dir), AS_OF))
     return report.pass_histogram(rows).select("validation_pass", "n", F.round("percent", 4).alias("percent"))
 
 
 def extract_metrics(spark, sf_dir):
-    return sinks.metrics(X.extract(_pages(spark, sf_dir), AS_OF, embeds=False))
+    return sinks.metrics(X.extract(_pages(spark, sf_dir), AS_OF))
 
 
 def report_summary(spark, sf_dir):
-    rows = report.result_rows(X.extract(_pages(spark, sf_dir), AS_OF, embeds=False))
+    rows = report.result_rows(X.extract(_pages(spark, sf_dir), AS_OF))
     return report.summary(rows, "1")
 
 
@@ -473,7 +474,7 @@ def heal_ladder(spark, sf_dir):
         F.replace(_c("html"), F.lit("<article>"), F.lit('<div class="story"><nav>')),
         F.lit("</article>"), F.lit("</nav>tiny</div>"),
     )
-    rows = X.extract(_pages(spark, sf_dir).withColumn("html", html), AS_OF, embeds=False)
+    rows = X.extract(_pages(spark, sf_dir).withColumn("html", html), AS_OF)
     return _flat(rows).select(
         "page_id", "selector", "mapper_confidence", "validation_pass", "validation_warning", "pruned_static",
         "text_length", "error",
@@ -483,11 +484,11 @@ def heal_ladder(spark, sf_dir):
 # -- structure table ----------------------------------------------------------------
 
 def _structure(spark, sf_dir, as_of=AS_OF):
-    return structure.structure_rows(X.extract(_pages(spark, sf_dir), as_of, embeds=False), as_of)
+    return structure.structure_rows(X.extract(_pages(spark, sf_dir), as_of), as_of)
 
 
 def extract_cached(spark, sf_dir):
-    return _flat(X.extract(_pages(spark, sf_dir), LATER, _structure(spark, sf_dir), embeds=False))
+    return _flat(X.extract(_pages(spark, sf_dir), LATER, _structure(spark, sf_dir)))
 
 
 def structure_upsert(spark, sf_dir):
@@ -528,10 +529,21 @@ def structure_heal(spark, sf_dir):
     """Cached structure over pages that went empty: the hits starve and take the full path."""
     emptied = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", r"(?s)<body>.*", "<body>gone</body>"))
     stored = _stub_structure(_pages(spark, sf_dir)).drop("page_id")
-    rows = X.extract(emptied, LATER, stored, embeds=False)
+    rows = X.extract(emptied, LATER, stored)
     return _flat(rows).select("page_id", "selector", "structure_cache_hit", "confidence", "mapper_confidence", "error")
 
 
+def structure_next(spark, sf_dir):
+    """The table after a crawl in which the pages under an English path went empty: their entries leave."""
+    gone = F.regexp_replace("html", r"(?s)<body>.*", "<body>gone</body>")
+    pages = _pages(spark, sf_dir)
+    changed = pages.withColumn("html", F.when(_c("url").contains("/en/"), gone).otherwise(_c("html")))
+    stored = _stub_structure(pages).drop("page_id")
+    stored = stored.withColumn("scored_blocks", F.lit(None).cast(f"array<{BLOCK_ROW.simpleString()}>"))
+    after = structure.next_structure(stored, X.extract(changed, LATER, stored), LATER)
+    return after.select("key", "url", "selector")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -541,6 +553,6 @@ QUERIES = {
         extract_digest, category_report, category_join, overall_report, node_counts, article_text, scored_blocks,
         link_blocks, noise_blocks, scorer_confidence, static_prune, dynamic_prune, mapped_container, extract_full,
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,
-        heal_ladder, extract_cached, structure_upsert, structure_fresh, structure_invalidate, structure_heal,
+        heal_ladder, extract_cached, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
     )
 }

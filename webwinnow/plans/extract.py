@@ -217,6 +217,7 @@ def cached_or_full(dom: DataFrame) -> DataFrame:
     merged = {name: F.when(_c("served"), _c(f"hit.{name}")).otherwise(_c(name)) for name in PATH_COLUMNS}
     out = second.withColumns(merged).withColumns({
         "structure_cache_hit": _c("served"), "nodes": _c("dom_nodes"),
+        "healed": _c("stored_selector").isNotNull() & ~_c("served"),
     })
     return out.drop("hit", "served", "dom_nodes")
 
@@ -318,7 +319,7 @@ def finished(df: DataFrame, as_of: str) -> DataFrame:
         df = df.withColumns(columns)
     df = df.withColumn("content", tx.wrap_boundary(_c("md"), _c("title"), _c("url"), F.lit(as_of)))
     return with_quality(df).withColumns(_result_columns()).select(
-        *RESULT_COLUMNS, "embeds", "noise_selectors", "scored_blocks", "finished", "finish_quality"
+        *RESULT_COLUMNS, "embeds", "noise_selectors", "scored_blocks", "finished", "finish_quality", "healed"
     )
 
 
@@ -326,7 +327,7 @@ def _run(pages: DataFrame, as_of: str, cached: bool) -> DataFrame:
     dom = scanned(pages)
     if cached:
         return finished(cached_or_full(dom), as_of)
-    return finished(full_path(dom).withColumn("structure_cache_hit", F.lit(False)), as_of)
+    return finished(full_path(dom).withColumns({"structure_cache_hit": F.lit(False), "healed": F.lit(False)}), as_of)
 
 
 def extract(

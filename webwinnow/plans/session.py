@@ -45,26 +45,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A file table whose text is costly to process, with at least one split per task slot.
+    """*table* dealt to ``spark.webwinnow.readSplits`` tasks where that is set, else as its files are split.
 
-    Only an input with fewer splits than slots is shuffled, so it is small;
-    larger ones keep their splits.
+    For tables of few row groups whose rows are costly; a large table has splits enough and needs no shuffle.
     """
-    slots = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(slots) if table.rdd.getNumPartitions() < slots else table
+    splits = table.sparkSession.conf.get("spark.webwinnow.readSplits", None)
+    return table.repartition(int(splits)) if splits else table
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write *df* to the session's checkpoint folder; unchanged when none is configured."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df
+    """*df* written to the checkpoint folder and read back, by a job that runs now.
+
+    The folder is ``spark.checkpoint.dir``, which has to be storage that all executors share; a temporary folder, good
+    for local sessions, where it is unset.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="webwinnow-"))
+    return df.checkpoint()
 
 
 def lookup_join(
     left: DataFrame, right: DataFrame, key: str, spread_by: str,
-    hot_rows: int = 1_000_000, fan_out: int = 64, population: DataFrame | None = None,
+    hot_rows: int = 10_000, fan_out: int = 64, population: DataFrame | None = None,
 ) -> DataFrame:
     """Left join onto *right*, which has one row per *key*, without piling hot keys on one task.
 
@@ -75,7 +78,8 @@ def lookup_join(
     to read than *left*, that holds all of its keys.
     """
     hot = (left if population is None else population).groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(fan_out)).cast("int")).otherwise(0)
+    # a null key matches nothing, so its rows may go anywhere
+    salt = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(fan_out)).cast("int")).otherwise(0)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
     salted = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")
     repeated = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")

@@ -97,16 +97,14 @@ def requested_pages(urls: DataFrame, pages: DataFrame, cap: int | None = None) -
     """
     if cap is not None:
         urls = urls.where(F.col("pos") < cap)
+    wanted = urls.select("url").where(F.col("url").isNotNull()).distinct()
     latest = (
-        pages.select("url", "page_id")
-        .join(urls.select("url").distinct(), "url", "left_semi")
+        pages.select("url", "page_id", "html")
+        .join(wanted, "url", "left_semi")  # only pages that were asked for go on with their html
         .groupBy("url")
-        .agg(F.max("page_id").alias("page_id"))
+        .agg(F.max_by(F.struct("page_id", "html"), "page_id").alias("page"))
     )
-    chosen = lookup_join(urls, latest, "url", "pos").select("pos", "url", "page_id")
-    found = chosen.where(F.col("page_id").isNotNull()).join(pages.select("page_id", "html"), "page_id")
-    missing = chosen.where(F.col("page_id").isNull()).withColumn("html", F.lit(None).cast("string"))
-    return found.select("pos", "url", "page_id", "html").unionByName(missing)
+    return lookup_join(urls, latest, "url", "pos").select("pos", "url", "page.page_id", "page.html")
 
 
 def explode_request(requests: DataFrame, urls: str | Column = "urls") -> DataFrame:

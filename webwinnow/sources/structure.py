@@ -81,6 +81,15 @@ def upsert_structure(structure: DataFrame, rows: DataFrame) -> DataFrame:
     return latest_structure(structure.unionByName(rows))
 
 
+def next_structure(structure: DataFrame, extracted: DataFrame, as_of: str) -> DataFrame:
+    """The table after a crawl: entries that had to be healed go, the crawl's cacheable rows come in.
+
+    A page that stays thin is therefore not served from its starved entry again.
+    """
+    kept = invalidate_structure(structure, extracted.where("healed").select("url"))
+    return upsert_structure(kept, structure_rows(extracted, as_of))
+
+
 def invalidate_structure(structure: DataFrame, urls: DataFrame) -> DataFrame:
     """Drop the rows of the given URLs; unknown URLs change nothing."""
     keys = urls.select(structure_key(F.col("url")).alias("key")).distinct()
