@@ -55,6 +55,11 @@ RULES = (
 )
 
 
+#: A rule is trusted to speak against a good document no more often than this; else junk that breaks one rule only
+#: would pass for good documents on which that rule is wrong.
+FALSE_ALARM = 0.002
+
+
 def base_failed(s) -> Column:
     return (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
 
@@ -141,6 +146,8 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
         good, bad = counts * q, counts * (1 - q)
         share = np.clip((good.sum() + 0.5) / (n + 1), 0.01, 0.99)
         odds = np.log((good @ shown + 0.5) / (good.sum() + 1.5)) - np.log((bad @ shown + 0.5) / (bad.sum() + 1.5))
+        seldom = np.log(FALSE_ALARM) - np.log((bad @ shown[0] + 0.5) / (bad.sum() + 1.5))
+        odds[0] = np.minimum(odds[0], seldom)
         odds[0], odds[1], odds[2] = np.minimum(odds[0], 0), 0, np.clip(odds[2], 0, np.log(4))
         prior = np.log(share / (1 - share))
         now = 1 / (1 + np.exp(-(prior + np.einsum("vpr,vr->p", shown, odds))))
