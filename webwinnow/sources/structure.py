@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from webwinnow import constants as K
 from webwinnow.functions.text import structure_key
 from webwinnow.plans.extract import STORED
-from webwinnow.plans.session import lookup_join
+from webwinnow.plans.session import cut_lineage, lookup_join
 from webwinnow.schemas import STRUCTURE
 
 # A row with one of these missing is malformed and counts as a miss.
@@ -86,8 +86,9 @@ def next_structure(structure: DataFrame, extracted: DataFrame, as_of: str) -> Da
 
     A page that stays thin is therefore not served from its starved entry again.
     """
-    kept = invalidate_structure(structure, extracted.where("healed").select("url"))
-    return upsert_structure(kept, structure_rows(extracted, as_of))
+    crawl = cut_lineage(extracted.select("url", "error", "metadata", "noise_selectors", "scored_blocks", "healed"))
+    kept = invalidate_structure(structure, crawl.where("healed").select("url"))
+    return upsert_structure(kept, structure_rows(crawl, as_of))
 
 
 def invalidate_structure(structure: DataFrame, urls: DataFrame) -> DataFrame:
