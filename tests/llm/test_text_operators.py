@@ -10,7 +10,7 @@ import pytest
 from webwinnow.llm import compression_classifier, licence_scan, toxicity
 from webwinnow.llm.decontamination import Lemma, contaminated, decontaminated
 from webwinnow.llm.quality_rules import keep_quality, quality_verdicts
-from webwinnow.llm.secret_scan import redact, secrets
+from webwinnow.llm.secret_scan import Battery, redact, secrets, thresholds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string"
@@ -89,6 +89,23 @@ def test_random_strings_are_found_and_ordinary_ones_left(spark):
     assert not any("random" in got[i] for i, _ in dull)
 
 
+def run_table(spark, rows):
+    """A table of tested runs from ``(encoding, length, p, value)``."""
+    kind = "runs array<struct<start:int,end:int,encoding:int,length:int,p:double,value:bigint>>"
+    return spark.createDataFrame([([(0, 30, *row)],) for row in rows], kind)
+
+
+def test_thin_strata_are_reported(spark):
+    r = random.Random(4)
+    sizes = dict(enumerate([1, 1, 2, 3, 5, 10, 50]))
+    rows = [(3, at, r.uniform(0.01, 0.45) if n < 5 else r.uniform(0.01, 1), r.getrandbits(60)) for at, n in sizes.items() for _ in range(n)]
+    cuts = thresholds(run_table(spark, rows), Battery())
+    assert all(p >= cuts.get((code, at), 2.0) for code, at, p, _ in rows)
+    # many ordinary strings are still told from few random ones
+    many = [(3, 0, r.uniform(0.01, 0.1), r.getrandbits(60)) for _ in range(400)] + [(3, 0, (i + 0.5) / 200, r.getrandbits(60)) for i in range(200)]
+    assert thresholds(run_table(spark, many), Battery())[3, 0] > 0.05
+
+
 def test_redaction_and_awkward_rows(spark, awkward):
     docs = spark.createDataFrame([(1, "a token = 0123456789abcdef0123456789abcdef z password=abcdefg"), (2, "plain"), (3, None)], DOCS)
     assert [r.text for r in redact(docs).orderBy("doc_id").collect()] == ["a [secret] z [secret]", "plain", None]

@@ -6,7 +6,8 @@ for runs about the middle of the alphabet, and for serial correlation. The small
 taking the smallest, is uniform for random strings and near zero for ordinary ones. Tests of short strings have little
 power, so the share of ordinary strings among those declared random is controlled in each stratum of encoding and
 length: p-values above a half tell how many random strings the stratum holds, the surplus at any threshold is false
-discoveries, and the lowest threshold that keeps their rate at ``rate`` is used. The corpus enters through counts per
+discoveries, and the lowest threshold that keeps their rate at ``rate`` is used. A surplus within ``errors`` standard
+errors of its estimate counts as none, so a stratum too thin to tell falls back to the level ``least``. The corpus enters through counts per
 stratum and p-value bin, a table of bounded size.
 """
 
@@ -43,10 +44,12 @@ _TAIL = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
 
 @dataclass(frozen=True)
 class Battery:
-    """False-discovery rate, and the least p-value at which a string may count as random."""
+    """False-discovery rate, the least p-value at which a string may count as random, and standard errors of a surplus
+    that count as chance."""
 
     rate: float = 0.05
     least: float = 0.005
+    errors: float = 2.0
 
 
 def _spans(text: Column, pattern: str, least: int, held: int, kind: str) -> Column:
@@ -179,11 +182,13 @@ def thresholds(runs: DataFrame, battery: Battery) -> dict[tuple[int, int], float
     stratum = W.partitionBy("encoding", "length")
     above = F.sum("count").over(stratum.orderBy(F.desc("bin")))
     random = 2 * F.sum(F.when(F.col("bin") * 2 >= _BINS, F.col("count")).otherwise(0)).over(stratum)
-    level = F.col("bin") / _BINS
-    falsely = F.greatest(F.lit(0.0), above - random * (1 - level))
-    held = counts.withColumns({"above": above, "false": falsely}).where(F.col("false") <= battery.rate * F.col("above"))
-    rows = held.groupBy("encoding", "length").agg(F.min("bin").alias("bin")).collect()  # a row per stratum
-    return {(r["encoding"], r["length"]): max(battery.least, r["bin"] / _BINS) for r in rows}
+    # the lowest level that takes the same strings: right above the next lower bin that holds any
+    level = (F.coalesce(F.lag("bin").over(stratum.orderBy("bin")), F.lit(-1)) + 1) / _BINS
+    # twice a binomial count of one half has the standard error sqrt(n); the surplus of few strings is not told from chance
+    falsely = F.greatest(F.lit(0.0), above - (random + battery.errors * F.sqrt(above)) * (1 - level))
+    held = counts.withColumns({"above": above, "false": falsely, "level": level}).where(F.col("false") <= battery.rate * F.col("above"))
+    rows = held.groupBy("encoding", "length").agg(F.min("level").alias("level")).collect()  # a row per stratum
+    return {(r["encoding"], r["length"]): max(battery.least, r["level"]) for r in rows}
 
 
 def all_spans(base: Column, runs: Column, cuts: dict[tuple[int, int], float]) -> Column:
