@@ -106,6 +106,17 @@ def test_thin_strata_are_reported(spark):
     assert thresholds(run_table(spark, many), Battery())[3, 0] > 0.05
 
 
+def test_copies_do_not_move_thresholds(spark):
+    r = random.Random(6)
+    rows = [(3, 4, (i + 0.5) / 1000, r.getrandbits(60)) for i in range(1000)] + [(3, 4, 0.001, r.getrandbits(60)) for _ in range(600)]
+    alone = thresholds(run_table(spark, rows), Battery())
+    for p in (0.3, 0.7):
+        assert thresholds(run_table(spark, rows + [(3, 4, p, 7)] + [(3, 4, p, 7)] * 1000), Battery()) == alone
+    text = "see Zm9vQmFy8rK2xLq0PdT5wNc1YhUe7sGjAi3B here"
+    found = [x.spans for x in secrets(spark.createDataFrame([(i, text) for i in range(40)], DOCS)).collect()]
+    assert len(found) == 40 and set(found) == {"random:4:40"}  # cuts apply to every occurrence
+
+
 def test_redaction_and_awkward_rows(spark, awkward):
     docs = spark.createDataFrame([(1, "a token = 0123456789abcdef0123456789abcdef z password=abcdefg"), (2, "plain"), (3, None)], DOCS)
     assert [r.text for r in redact(docs).orderBy("doc_id").collect()] == ["a [secret] z [secret]", "plain", None]

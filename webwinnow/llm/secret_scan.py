@@ -7,8 +7,8 @@ taking the smallest, is uniform for random strings and near zero for ordinary on
 power, so the share of ordinary strings among those declared random is controlled in each stratum of encoding and
 length: p-values above a half tell how many random strings the stratum holds, the surplus at any threshold is false
 discoveries, and the lowest threshold that keeps their rate at ``rate`` is used. A surplus within ``errors`` standard
-errors of its estimate counts as none, so a stratum too thin to tell falls back to the level ``least``. The corpus enters through counts per
-stratum and p-value bin, a table of bounded size.
+errors of its estimate counts as none, so a stratum too thin to tell falls back to the level ``least``. Each distinct
+string counts once, however many copies it has. The corpus enters through counts per
 """
 
 from __future__ import annotations
@@ -136,8 +136,8 @@ def _p_value(x: Column, k: Column) -> Column:
 
 
 def tested_runs(text: Column) -> Column:
-    """``(start, end, encoding, length, p)`` of each run of encoding characters whose encoding is inferred."""
-    kind = "array<struct<start:int,end:int,encoding:int,length:int,p:double>>"
+    """``(start, end, encoding, length, p, value)`` (value: a hash) of each run of encoding characters whose encoding is inferred."""
+    kind = "array<struct<start:int,end:int,encoding:int,length:int,p:double,value:bigint>>"
     runs = _spans(text, _RUN, 20, 2, "random")
 
     def encoding(value: Column) -> Column:
@@ -167,18 +167,17 @@ def tested_runs(text: Column) -> Column:
         length = F.length(s["value"])
         stratum = F.aggregate(F.array(*[F.lit(x) for x in _LENGTHS]), F.lit(0), lambda a, x: a + (length >= x).cast("int"))
         p = _per(F.filter(values, lambda v: v >= 0), lambda x: _p_value(x, k))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"), stratum.alias("length"), p.alias("p"))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"), stratum.alias("length"), p.alias("p"), F.xxhash64(s["value"]).alias("value"))
 
     return F.when(text.rlike("[A-Za-z0-9+/_=-]{20}"), F.transform(inferred, tested)).otherwise(F.array().cast(kind))
 
 
 def thresholds(runs: DataFrame, battery: Battery) -> dict[tuple[int, int], float]:
     """Least p-value per stratum from a table with a column ``runs`` of tested runs; strata are few and fixed."""
-    counts = (
-        runs.select(F.explode("runs").alias("r"))
-        .groupBy(F.col("r.encoding").alias("encoding"), F.col("r.length").alias("length"), F.least(F.lit(_BINS - 1), F.floor(F.col("r.p") * _BINS)).alias("bin"))
-        .count()
-    )
+    # copies of a string count once: they would move the threshold for all others
+    bins = F.least(F.lit(_BINS - 1), F.floor(F.col("r.p") * _BINS)).alias("bin")
+    distinct = runs.select(F.explode("runs").alias("r")).select("r.encoding", "r.length", bins, "r.value").distinct()
+    counts = distinct.groupBy("encoding", "length", "bin").count()
     stratum = W.partitionBy("encoding", "length")
     above = F.sum("count").over(stratum.orderBy(F.desc("bin")))
     random = 2 * F.sum(F.when(F.col("bin") * 2 >= _BINS, F.col("count")).otherwise(0)).over(stratum)
