@@ -117,6 +117,18 @@ def test_copies_do_not_move_thresholds(spark):
     assert len(found) == 40 and set(found) == {"random:4:40"}  # cuts apply to every occurrence
 
 
+def test_named_values_letters_and_digits_are_tested(spark):
+    r = random.Random(8)
+    key = "Zm9vQmFy8rK2xLq0PdT5wNc1YhUe7sGjAi3B"
+    text = {
+        1: f"AUTH={key}", 2: f"AWS_KEY={key}==", 3: f"https://h.x/?sig={key}&a=b", 4: "k " + "".join(r.choice(string.ascii_letters) for _ in range(28)), 5: "k 31415926535897932384",
+        6: "k qzxvlmnprtwybcdfghjksaeo", 7: "ID=fQ7xZk2LmW9rTb4Yp0==",
+    }
+    got = {x.doc_id: x.spans for x in secrets(spark.createDataFrame(list(text.items()), DOCS)).collect()}
+    assert [got[i] for i in (1, 2, 3, 7)] == ["random:5:41", "random:8:46", "random:17:53", "random:3:23"]
+    assert [got[i] for i in (4, 5, 6)] == [f"random:2:{len(text[i])}" for i in (4, 5, 6)]
+
+
 def test_redaction_and_awkward_rows(spark, awkward):
     docs = spark.createDataFrame([(1, "a token = 0123456789abcdef0123456789abcdef z password=abcdefg"), (2, "plain"), (3, None)], DOCS)
     assert [r.text for r in redact(docs).orderBy("doc_id").collect()] == ["a [secret] z [secret]", "plain", None]

@@ -1,7 +1,7 @@
 """Secret scans in column functions only.
 
 Three fixed patterns give the base spans. A battery of randomness tests adds spans: each run of encoding characters
-that mixes character classes has its encoding inferred, and its symbols are tested for a uniform alphabet (chi-squared),
+has its encoding inferred, and its symbols are tested for a uniform alphabet (chi-squared),
 for runs about the middle of the alphabet, and for serial correlation. The smallest of the three p-values, corrected for
 taking the smallest, is uniform for random strings and near zero for ordinary ones. Tests of short strings have little
 power, so the share of ordinary strings among those declared random is controlled in each stratum of encoding and
@@ -27,7 +27,8 @@ _ASSIGN = (
 KINDS = (("assign", _ASSIGN, 6, 3), ("access", r"(AKIA[A-Z0-9]+)", 20, 2), ("hex", r"([0-9a-f]+)", 24, 2))
 #: What a text must hold to be searched for the kind at all.
 _HINTS = (r"[Pp][Aa][Ss][Ss][Ww]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]", "AKIA", "[0-9a-f]{24}")
-_RUN = r"([A-Za-z0-9+/_=-]{20,})"
+#: "=" is padding at the end of a run, so a value after NAME= is a run of its own; 20 characters are asked with padding.
+_RUN = r"([A-Za-z0-9+/_-]{14,}={0,6})"
 
 #: Encodings: name, shape, alphabet. The first shape that fits is inferred.
 _ENCODINGS = (
@@ -35,6 +36,9 @@ _ENCODINGS = (
     ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base36", r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("digits", r"^[0-9]+$", "0123456789"),
+    ("letters", r"^(?:[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
+    ("mixed letters", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
 )
 _LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128)  # lower ends of the length strata
 _BINS = 200
@@ -160,7 +164,7 @@ def tested_runs(text: Column) -> Column:
     def tested(s: Column) -> Column:
         code = s["encoding"]
         plain = F.rtrim(F.translate(s["value"], "-_", "+/"), F.lit("="))
-        cased = F.when(code.isin(0, 2), F.lower(plain)).otherwise(plain)
+        cased = F.when(code.isin(0, 2, 5), F.lower(plain)).otherwise(plain)
         alphabet = pick(code, [a for _, _, a in _ENCODINGS])
         k = pick(code, [float(len(a)) for _, _, a in _ENCODINGS])
         values = F.transform(F.split(cased, ""), lambda c: F.position(c, alphabet).cast("double") - 1)
@@ -169,7 +173,7 @@ def tested_runs(text: Column) -> Column:
         p = _per(F.filter(values, lambda v: v >= 0), lambda x: _p_value(x, k))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"), stratum.alias("length"), p.alias("p"), F.xxhash64(s["value"]).alias("value"))
 
-    return F.when(text.rlike("[A-Za-z0-9+/_=-]{20}"), F.transform(inferred, tested)).otherwise(F.array().cast(kind))
+    return F.when(text.rlike("[A-Za-z0-9+/_-]{14}[A-Za-z0-9+/_=-]{6}"), F.transform(inferred, tested)).otherwise(F.array().cast(kind))
 
 
 def thresholds(runs: DataFrame, battery: Battery) -> dict[tuple[int, int], float]:
