@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from webwinnow.llm.chat_snapshots import render_maximal
@@ -12,6 +13,7 @@ from webwinnow.llm.jaccard_join import jaccard_components
 from webwinnow.llm.licence_scan import licence_digest
 from webwinnow.llm.quality_rules import quality_verdicts
 from webwinnow.llm.secret_scan import secrets
+from webwinnow.llm.token_counts import token_counts
 from webwinnow.llm.toxicity import toxic_grades
 from webwinnow.llm.warc_revisits import revisit_table
 from webwinnow.llm.weighted_mix import mixed
@@ -57,10 +59,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_weighted_mix, op2_ngram_jaccard_join, op3_warc_revisits, op4_chat_snapshots, op5_quality_rules,
         op6_compression_classifier, op7_toxicity, op8_licence_scan, op9_secret_scan, op10_decontamination,
+        op11_token_counts,
     )
 }
