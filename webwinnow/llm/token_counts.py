@@ -132,8 +132,10 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in ids if i not in skip]
 
 
-#: One table of merges per vocabulary and worker.
-_merges = lru_cache(4)(Merges)
+@lru_cache(4)
+def _merges(pieces: tuple[tuple[str, float], ...]) -> Merges:
+    """One table of merges per vocabulary and worker."""
+    return Merges(pieces)
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
