@@ -90,3 +90,79 @@ FROM t JOIN k USING (conv_id) GROUP BY conv_id
 """
 
 SQL |= {"op3_warc_revisits": OP3, "op4_chat_snapshots": OP4}
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    byte = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce({byte}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+# States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant. A row is reached by up to two inserts.
+OP12 = rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k
+  FROM conversations
+),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c WHERE k <> 0
+),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM d
+),
+f AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, CASE WHEN trimmed = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM o
+),
+g AS (
+  SELECT conv_id, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+),
+inserts(q, p, audit, lines) AS (VALUES
+  (0, 0, '', ''), (0, 2, 'I', chr(10) || 'user:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 1, '', ''), (1, 2, 'I', chr(10) || 'user:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, '', ''), (2, 3, 'I', chr(10) || 'assistant:'), (3, 3, '', ''), (3, 2, 'I', chr(10) || 'user:')
+),
+edits(p, edit, initial, q, role) AS (VALUES
+  (0, 'K', 's', 1, ''), (0, 'K', 'u', 2, ''), (1, 'K', 'u', 2, ''), (2, 'K', 'a', 3, ''), (3, 'K', 'u', 2, ''),
+  (0, 'R', '', 2, 'user'), (1, 'R', '', 2, 'user'), (2, 'R', '', 3, 'assistant'), (3, 'R', '', 2, 'user'),
+  (0, 'D', '', 0, ''), (1, 'D', '', 1, ''), (2, 'D', '', 2, ''), (3, 'D', '', 3, '')
+),
+walk(conv_id, i, q, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''}} FROM g
+  UNION ALL
+  SELECT w.conv_id, f.i, e.q, min({{
+    'cost': w.best.cost + 3 * length(s.audit) + CASE e.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+      + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END,
+    'audit': w.best.audit || s.audit || e.edit,
+    'lines': w.best.lines || s.lines || CASE WHEN e.edit = 'D' THEN '' WHEN e.edit = 'R' THEN chr(10) || e.role || ':' || f.text
+      ELSE chr(10) || f.role || ':' || f.text END}})
+  FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN inserts s ON s.q = w.q JOIN edits e ON e.p = s.p
+  WHERE e.edit = 'D' OR f.fault IN ('', 'truncated') AND (e.edit = 'R' OR e.initial = f.initial)
+  GROUP BY w.conv_id, f.i, e.q
+),
+done AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + 3 * length(s.audit), 'audit': w.best.audit || s.audit, 'lines': w.best.lines || s.lines}}) AS best
+  FROM walk w JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND g.n = w.i
+    JOIN inserts s ON s.q = w.q AND (s.p = 3 OR s.p = 0 AND s.q = 0)
+  GROUP BY w.conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(substr(coalesce(best.lines, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM a.conv_id
+  LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+SQL["op12_structure_repair"] = OP12

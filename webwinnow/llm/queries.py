@@ -13,6 +13,7 @@ from webwinnow.llm.jaccard_join import jaccard_components
 from webwinnow.llm.licence_scan import licence_digest
 from webwinnow.llm.quality_rules import quality_verdicts
 from webwinnow.llm.secret_scan import secrets
+from webwinnow.llm.structure_repair import damaged, repair_digest
 from webwinnow.llm.token_counts import token_counts
 from webwinnow.llm.toxicity import toxic_grades
 from webwinnow.llm.warc_revisits import revisit_table
@@ -63,11 +64,16 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair_digest(damaged(turns), turns)
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_weighted_mix, op2_ngram_jaccard_join, op3_warc_revisits, op4_chat_snapshots, op5_quality_rules,
         op6_compression_classifier, op7_toxicity, op8_licence_scan, op9_secret_scan, op10_decontamination,
-        op11_token_counts,
+        op11_token_counts, op12_structure_repair,
     )
 }
