@@ -166,3 +166,41 @@ FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON g.conv_id IS
 """
 
 SQL["op12_structure_repair"] = OP12
+
+# A node is told by the hashes of its turns in a row; a subtree holds the nodes whose path starts with its own.
+OP13 = rf"""
+WITH t AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS d
+  FROM conversations
+),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, coalesce({_crc32("CAST(conv_id AS VARCHAR)")} % 4, 0) AS h FROM conversations GROUP BY conv_id),
+lead AS (SELECT c.conv_id, t.said, t.words, t.d FROM c JOIN t ON t.conv_id = c.base AND t.d <= c.h),
+own AS (
+  SELECT t.conv_id, t.said, t.words, t.d - c.h + (SELECT count(*) FROM lead WHERE lead.conv_id = c.conv_id) AS d
+  FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id WHERE t.d > c.h
+),
+r AS (SELECT * FROM lead UNION ALL SELECT * FROM own),
+p AS (
+  SELECT conv_id, d, words, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY d) AS path, d = max(d) OVER (PARTITION BY conv_id) AS last FROM r
+  UNION ALL
+  SELECT c.conv_id, 0, 0, '', NOT EXISTS (SELECT 1 FROM r WHERE r.conv_id IS NOT DISTINCT FROM c.conv_id) FROM c
+),
+n AS (
+  SELECT path, min(conv_id) AS conv_id, max(d) AS depth, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM p GROUP BY path
+),
+k AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM n WHERE path <> '' GROUP BY ALL),
+a AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+up AS (SELECT a.*, unnest([left(path, 32 * i) FOR i IN range(0, CAST(length(path) / 32 AS BIGINT) + 1)]) AS above FROM a),
+s AS (
+  SELECT above AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens FROM up GROUP BY above
+)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, s.n_leaves, s.saved_tokens, a.ends_sha256
+FROM a JOIN s USING (path) LEFT JOIN n b ON a.path <> '' AND b.path = left(a.path, length(a.path) - 32)
+"""
+
+SQL["op13_prefix_trie"] = OP13

@@ -11,6 +11,7 @@ from webwinnow.llm.compression_classifier import score_quality
 from webwinnow.llm.decontamination import contaminated
 from webwinnow.llm.jaccard_join import jaccard_components
 from webwinnow.llm.licence_scan import licence_digest
+from webwinnow.llm.prefix_trie import prefix_trie
 from webwinnow.llm.quality_rules import quality_verdicts
 from webwinnow.llm.secret_scan import secrets
 from webwinnow.llm.structure_repair import damaged, repair_digest
@@ -69,11 +70,15 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digest(damaged(turns), turns)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), shared_leads=True)
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_weighted_mix, op2_ngram_jaccard_join, op3_warc_revisits, op4_chat_snapshots, op5_quality_rules,
         op6_compression_classifier, op7_toxicity, op8_licence_scan, op9_secret_scan, op10_decontamination,
-        op11_token_counts, op12_structure_repair,
+        op11_token_counts, op12_structure_repair, op13_prefix_trie,
     )
 }
