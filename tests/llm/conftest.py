@@ -1,7 +1,7 @@
 import pytest
 
 #: Column names that the operators use inside.
-CLASHES = ("id", "row", "node", "n", "t", "size", "w", "name", "key", "stats", "base", "runs", "prefix", "taken", "p", "value")
+CLASHES = ("id", "row", "node", "n", "t", "size", "w", "name", "key", "stats", "base", "runs", "prefix", "taken", "p", "value", "i", "y", "copies", "_gone", "_row", "curve")
 
 
 @pytest.fixture(scope="session")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from webwinnow.llm.chat_snapshots import Template, render_maximal
 from webwinnow.llm.warc_revisits import Archive, deduplicate, read_archives, resolved, revisit_table, write_responses
-from webwinnow.llm.weighted_mix import Mix, mixed, mixture
+from webwinnow.llm.weighted_mix import Mix, bucketed, mixed, mixture
 
 DOCS = "doc_id bigint, text string, source string"
 
@@ -58,11 +58,24 @@ def test_heavier_documents_come_first(spark):
     assert clean > 0.58 * sum(x.taken for x in got)  # twice the weight
 
 
-def test_mix_of_awkward_rows(spark, awkward):
+def test_key_buckets_are_even(spark):
+    """Half of the source at weight 1, half at 0.02: keys of very different scales."""
+    rows = spark.range(100_000).select(
+        F.lit("s").alias("source"), F.col("id").cast("string").alias("name"), F.lit(1).cast("long").alias("size"),
+        F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.02).alias("w"))
+    mix = Mix(bucket_rows=2_000)
+    keyed = bucketed(rows, mix)
+    largest = keyed.groupBy("bucket").count().agg(F.max("count"), F.count("*")).first()
+    assert largest[0] < 3 * mix.bucket_rows and largest[1] == 50
+
+
+def test_mix_of_awkward_rows(spark, awkward, tmp_path):
     got = mixed(awkward).collect()
     assert len(got) == 12 and sum(x.size == 0 and x.taken == 0 for x in got) == 4
     chosen = mixture(awkward)
-    assert chosen.columns == [*awkward.columns, "copies", "taken"] or "taken" in awkward.columns
+    assert chosen.columns == [*awkward.columns, "copies_", "taken_"]
+    chosen.write.parquet(str(tmp_path / "mix"))
+    assert spark.read.parquet(str(tmp_path / "mix")).count() == chosen.count() > 0
     assert mixed(awkward.where("false")).count() == 0 and mixture(awkward.where("false")).count() == 0
 
 

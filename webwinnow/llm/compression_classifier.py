@@ -102,8 +102,9 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col:
         few = ids.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(fit.rows).select(F.col(id_col).alias("i"), "y")
         chosen = few if chosen is None else chosen.unionByName(few)
     # at most 2 * rows ids, so the broadcast is bounded; so are the texts that come back
-    met = docs.join(F.broadcast(chosen), docs[id_col] == F.col("i")).where(F.octet_length(docs[text_col]).between(1, fit.row_bytes))
-    rows = met.select("i", "y", F.col(text_col).cast("binary").alias("t")).dropDuplicates(["i"]).collect()
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.octet_length("t").between(1, fit.row_bytes))
+    met = texts.join(F.broadcast(chosen), "i").groupBy("i", "y").agg(F.min("t").alias("t"))  # of a repeated id the least text
+    rows = met.select("i", "y", F.col("t").cast("binary").alias("t")).collect()
     rows.sort(key=lambda r: zlib.crc32(str(r["i"]).encode()))
     parts: dict[int, list[bytes]] = {y: [bytes(r["t"]) for r in rows if r["y"] == y] for y in (0, 1)}
     learn = {y: t[: len(t) // 2] for y, t in parts.items()}

@@ -7,7 +7,7 @@ two neighbouring cells are a band, bands overlap by a cell, so one band holds al
 are aligned with the item.
 
 The items go to the tasks in blocks of bounded size, each of which meets all documents in one narrow pass without a
-shuffle; documents are independent, so nothing is collected.
+shuffle.
 """
 
 from __future__ import annotations
@@ -39,10 +39,12 @@ class Lemma:
     block_bytes: int = 4 << 20
 
     def edits(self, m):
-        return np.floor(np.asarray(m) * self.budget).astype(np.int64)
+        """Edits allowed; no more than leave one q-gram whole wherever they fall, which binds for short items."""
+        m = np.asarray(m)
+        return np.minimum(np.floor(m * self.budget), np.maximum(0, (m - self.q) // self.q)).astype(np.int64)
 
     def bound(self, m):
-        return np.maximum(1, np.asarray(m) - self.q + 1 - self.q * self.edits(m))
+        return np.asarray(m) - self.q + 1 - self.q * self.edits(m)
 
 
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -122,7 +122,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: s
     ids = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("i")).agg(F.max(label_col).alias("y"))
     order = (F.xxhash64("i"), F.col("i"))
     chosen = ids.where("y = 1").orderBy(*order).limit(fit.toxic_rows).unionByName(ids.where("y = 0").orderBy(*order).limit(fit.clean_rows))
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "i").dropDuplicates(["i"])
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "i")
+    texts = texts.groupBy("i", "y").agg(F.min("t").alias("t"))  # of a repeated id the least text
     counted = _counted(texts.select(F.struct("i", "y").alias("row"), "t"))
     sizes = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)

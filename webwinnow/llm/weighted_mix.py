@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from webwinnow.llm.common import WORD, saved, symbols, unused
 
 
+_OCTAVES = 48  # classes of weights, four to a factor of two; the last one holds all smaller weights
+
+
 @dataclass(frozen=True)
 class Mix:
     """Weights dealt to sources in order, the budget as a share of all sizes, the limit per source, the key seed."""
@@ -70,19 +73,29 @@ def targets(sources: DataFrame, mix: Mix) -> DataFrame:
     return rated.withColumn("target", target).drop("cap", "budget", "rate", "open")
 
 
-def taken_rows(rows: DataFrame, mix: Mix) -> DataFrame:
-    """``source, size, weight, name`` (and more) -> also ``source_size, target, epochs, taken``.
-
-    A document of the rest is taken while half of it still fits, so a source ends within half a document of its target.
-    """
-    plan = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.avg("w").alias("mean"))
+def bucketed(rows: DataFrame, mix: Mix) -> DataFrame:
+    """``source, size, w, name`` (and more) -> also the source's plan, ``key`` and its ``bucket``."""
+    octave = F.least(F.lit(_OCTAVES), F.floor(-4 * F.log2("w")))
+    classes = rows.groupBy("source", octave.alias("octave")).agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.sum("w").alias("w"))
+    curve = F.array_sort(F.collect_list(F.struct((F.col("w") / F.col("n")).alias("w"), "n")))  # at most one entry per class
+    plan = classes.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("n").alias("n"), curve.alias("curve"))
     plan = targets(plan.withColumn("buckets", F.ceil(F.col("n") / mix.bucket_rows)), mix).drop("weight")
     plan = plan.withColumn("epochs", F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)))
     plan = saved(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "plan")
     keyed = rows.withColumn("key", key(F.col("name"), F.col("w"), mix.seed))
     full = keyed.join(plan, keyed["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    # keys are about exponential with the mean weight, so this spreads them evenly and in order
-    full = full.withColumn("bucket", F.floor(F.col("buckets") * (1 - F.exp(-F.col("key") * F.col("mean")))))
+    # the share of smaller keys, which are exponential in each class of weights: this spreads keys evenly and in order
+    above = F.aggregate("curve", F.lit(0.0), lambda s, c: s + c["n"] * F.exp(-F.col("key") * c["w"])) / F.col("n")
+    full = full.withColumn("bucket", F.when(F.col("buckets") > 1, F.floor(F.col("buckets") * (1 - above))).otherwise(0).cast("long"))
+    return full
+
+
+def taken_rows(rows: DataFrame, mix: Mix) -> DataFrame:
+    """``source, size, weight, name`` (and more) -> also ``source_size, target, epochs, taken``.
+
+    A document of the rest is taken while half of it still fits, so a source ends within half a document of its target.
+    """
+    full = bucketed(rows, mix)
     offsets = full.groupBy("source", "bucket").agg(F.sum("size").alias("in"))
     offsets = offsets.withColumn("offset", F.sum("in").over(W.partitionBy("source").orderBy("bucket")) - F.col("in")).select(
         F.col("source").alias("s"), F.col("bucket").alias("b"), "offset")
@@ -91,7 +104,7 @@ def taken_rows(rows: DataFrame, mix: Mix) -> DataFrame:
     through = F.col("offset") + F.sum("size").over(within)
     extra = (through - F.col("size") / 2 < F.col("rest")) & (F.col("size") > 0)
     placed = placed.withColumn("extra", extra).withColumn("taken", F.col("size") * (F.col("epochs") + F.col("extra").cast("long")))
-    return placed.drop("n", "mean", "buckets", "rest", "bucket", "offset")
+    return placed.drop("n", "curve", "buckets", "rest", "bucket", "offset")
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -114,7 +127,10 @@ def _named(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list
 
 
 def mixture(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of *docs* that the mix takes, with ``copies`` and ``taken`` words after their columns; see ``mixed``."""
+    """The rows of *docs* that the mix takes, with ``copies`` and ``taken`` words after their columns; see ``mixed``.
+
+    Where *docs* has a column of that name, the new one's name has underscores after it.
+    """
     rows = saved(docs.select(*_named(docs, id_col, text_col, source_col)), "sizes")
     place = F.struct("key", "name", "size")
     cuts = taken_rows(rows, mix).groupBy("source").agg(F.first("epochs").alias("epochs"), F.max(F.when(F.col("extra"), place)).alias("cut"))
@@ -127,4 +143,4 @@ def mixture(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col:
     extra = F.coalesce((mine <= c["cut"]) & (m["size"] > 0), F.lit(False)).cast("long")
     copies = F.when(m["size"] > 0, c["epochs"] + extra).otherwise(0)
     met = met.withColumn(f"{mark}n", copies).where(F.col(f"{mark}n") > 0)
-    return met.select(*docs.columns, F.col(f"{mark}n").alias("copies"), (m["size"] * F.col(f"{mark}n")).alias("taken"))
+    return met.select(*docs.columns, F.col(f"{mark}n").alias(unused(docs, "copies")), (m["size"] * F.col(f"{mark}n")).alias(unused(docs, "taken")))
