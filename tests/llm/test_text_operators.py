@@ -1,16 +1,19 @@
 import hashlib
+import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from webwinnow.llm import compression_classifier, licence_scan, toxicity
 from webwinnow.llm.decontamination import Lemma, contaminated, decontaminated
 from webwinnow.llm.quality_rules import keep_quality, quality_verdicts
-from webwinnow.llm.secret_scan import Battery, redact, secrets, thresholds
+from webwinnow.llm.secret_scan import Battery, redact, secrets, tested_runs, thresholds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string"
@@ -122,11 +125,67 @@ def test_named_values_letters_and_digits_are_tested(spark):
     key = "Zm9vQmFy8rK2xLq0PdT5wNc1YhUe7sGjAi3B"
     text = {
         1: f"AUTH={key}", 2: f"AWS_KEY={key}==", 3: f"https://h.x/?sig={key}&a=b", 4: "k " + "".join(r.choice(string.ascii_letters) for _ in range(28)), 5: "k 31415926535897932384",
-        6: "k qzxvlmnprtwybcdfghjksaeo", 7: "ID=fQ7xZk2LmW9rTb4Yp0==",
+        7: "ID=fQ7xZk2LmW9rTb4Yp0==",
     }
     got = {x.doc_id: x.spans for x in secrets(spark.createDataFrame(list(text.items()), DOCS)).collect()}
     assert [got[i] for i in (1, 2, 3, 7)] == ["random:5:41", "random:8:46", "random:17:53", "random:3:23"]
-    assert [got[i] for i in (4, 5, 6)] == [f"random:2:{len(text[i])}" for i in (4, 5, 6)]
+    assert [got[i] for i in (4, 5)] == [f"random:2:{len(text[i])}" for i in (4, 5)]
+
+
+def test_letters_of_one_case_are_words_until_the_corpus_says_otherwise(spark):
+    r = random.Random(9)
+    key = "qzxvlmnprtwybcdfghjksaeo"
+    words = [(i, "das einlichheitenpfpfver" + "".join(r.choice(["ung", "heit", "keit", "lich"]) for _ in range(3))) for i in range(30)]
+    alone = {x.doc_id: x.spans for x in secrets(spark.createDataFrame([*words, (99, key)], DOCS)).collect()}
+    assert set(alone.values()) == {""}
+    more = [(200 + i, "".join(r.choice(string.ascii_lowercase) for _ in range(24))) for i in range(120)]
+    found = {x.doc_id: x.spans for x in secrets(spark.createDataFrame([*words, (99, key), *more], DOCS)).collect()}
+    assert found[99] == "random:0:24" and sum(found[i] != "" for i, _ in more) >= 110 and sum(found[i] != "" for i, _ in words) <= 6
+
+
+ALPHABETS = {"0": "0123456789abcdef", "3": string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/", "5": string.ascii_lowercase}
+
+
+def plain_p(text, alphabet):
+    """The battery in plain Python."""
+    x, k, n = [alphabet.index(c) for c in text], len(alphabet), len(text)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = sum((x.count(v) - n / k) ** 2 / (n / k) for v in range(k))
+    z1 = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = [v * 2 >= k for v in x]
+    a, b, runs = sum(high), n - sum(high), 1 + sum(p != q for p, q in zip(high, high[1:]))
+    spread = math.sqrt(max(1e-9, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))))
+    mean = sum(x) / n
+    serial = sum((p - mean) * (q - mean) for p, q in zip(x, x[1:])) / max(1e-9, sum((v - mean) ** 2 for v in x))
+    least = min(1, tail(z1), 2 * tail(abs(runs - 2 * a * b / n - 1) / spread), 2 * tail(abs(serial + 1 / n) * math.sqrt(n)))
+    return 1 - (1 - least) ** 3
+
+
+def test_p_values_equal_a_plain_battery(spark):
+    r = random.Random(10)
+    texts = [(int(code), "".join(r.choice(a if r.random() < 0.7 else a[:6]) for _ in range(r.randrange(20, 130)))) for code, a in ALPHABETS.items() for _ in range(60)]
+    for code in (0, 3):  # the shape of the encoding
+        texts = [(c, t + ("0a" if code == 0 else "0aZ") if c == code else t) for c, t in texts]
+    rows = spark.createDataFrame(texts, "code int, text string").select("*", tested_runs(F.col("text")).alias("runs")).collect()
+    for row in rows:
+        (run,) = row.runs
+        assert run.encoding == row.code and (run.start, run.end) == (0, len(row.text))
+        assert run.p == pytest.approx(plain_p(row.text, ALPHABETS[str(row.code)]), abs=2e-6)
+
+
+def test_long_runs_and_many_matches_are_linear(spark):
+    r = random.Random(11)
+    long_run = "x " + "".join(r.choices(string.ascii_letters + string.digits + "+/", k=1_000_000)) + " y"
+    many = "password=abcdef " * 100_000
+    both = "".join(f"token:abc{i:06d} {'%040x' % r.getrandbits(160)} " for i in range(20_000))
+    docs = spark.createDataFrame([(1, long_run), (2, many), (3, both)], DOCS)
+    began = time.time()
+    got = {x.doc_id: x for x in secrets(docs).collect()}
+    clean = {x.doc_id: x.text for x in redact(docs).collect()}
+    assert time.time() - began < 90
+    assert got[1].spans == "random:2:1000002" and clean[1] == "x [secret] y"
+    assert got[2].n_assign == 100_000 and clean[2] == "[secret] " * 100_000
+    assert (got[3].n_assign, got[3].n_hex) == (20_000, 20_000) and clean[3] == "[secret] [secret] " * 20_000
 
 
 def test_redaction_and_awkward_rows(spark, awkward):

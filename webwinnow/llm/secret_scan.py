@@ -5,17 +5,22 @@ has its encoding inferred, and its symbols are tested for a uniform alphabet (ch
 for runs about the middle of the alphabet, and for serial correlation. The smallest of the three p-values, corrected for
 taking the smallest, is uniform for random strings and near zero for ordinary ones. Tests of short strings have little
 power, so the share of ordinary strings among those declared random is controlled in each stratum of encoding and
-length: p-values above a half tell how many random strings the stratum holds, the surplus at any threshold is false
-discoveries, and the lowest threshold that keeps their rate at ``rate`` is used. A surplus within ``errors`` standard
-errors of its estimate counts as none, so a stratum too thin to tell falls back to the level ``least``. Each distinct
-string counts once, however many copies it has. The corpus enters through counts per
+length. Twice the p-values above a half tell how many random strings a stratum holds. Its share of random strings is
+shrunk towards that of all lengths of the encoding, and that towards a prior (letters of one case are words until the
+corpus says otherwise); where it stays under ``share`` nothing is reported. Elsewhere the surplus at any threshold is
+false discoveries, and the lowest threshold that keeps their rate at ``rate`` is used; a surplus within ``errors`` standard
+errors of its estimate counts as none (but not for letters of one case), so a thin stratum falls back to the level ``least``. Each distinct string counts
+once, however many copies it has. The corpus enters through counts per stratum and bin of p-values.
+
+Positions and overlaps are running sums and extremes over blocks of about the square root of an array, and symbols are
+counted by string functions, so a text of one long run or of very many matches takes no quadratic time.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from webwinnow.llm.common import saved, unused
 
@@ -40,6 +45,8 @@ _ENCODINGS = (
     ("letters", r"^(?:[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
     ("mixed letters", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
 )
+#: Share of random strings in an encoding of which nothing is known: letters of one case are words.
+_PRIOR = (1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 1.0)
 _LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128)  # lower ends of the length strata
 _BINS = 200
 #: Coefficients of the usual five-term approximation of the normal tail.
@@ -48,33 +55,63 @@ _TAIL = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
 
 @dataclass(frozen=True)
 class Battery:
-    """False-discovery rate, the least p-value at which a string may count as random, and standard errors of a surplus
-    that count as chance."""
+    """False-discovery rate, the least p-value at which a string may count as random, standard errors of a surplus that
+    count as chance, the least share of random strings in a stratum, and how many strings a prior share weighs."""
 
     rate: float = 0.05
     least: float = 0.005
     errors: float = 2.0
+    share: float = 0.25
+    prior: float = 20.0
+
+
+def _per(values: Column, build) -> Column:
+    """``build(x)`` with *values* evaluated once."""
+    return F.transform(F.array(values), build)[0]
+
+
+def _running(values: Column, combine) -> Column:
+    """Running sums or extremes of an array: within blocks, over the blocks, and both together."""
+    def scanned(block: Column) -> Column:
+        def step(out: Column, v: Column) -> Column:
+            return F.concat(out, F.array(F.when(F.size(out) == 0, v).otherwise(combine(F.element_at(out, -1), v))))
+
+        return F.aggregate(block, F.array().cast("array<int>"), step)
+
+    def blocked(x: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(x).cast("double"))).cast("int")
+        starts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / size).cast("int"))
+        return F.transform(starts, lambda k: scanned(F.slice(x, k * size + 1, size)))
+
+    def carry(local: Column) -> Column:
+        return _per(scanned(F.transform(local, lambda block: F.element_at(block, -1))), lambda totals: F.flatten(F.transform(
+            local, lambda block, k: F.when(k == 0, block).otherwise(_per(F.get(totals, k - 1), lambda t: F.transform(block, lambda v: combine(t, v)))))))
+
+    empty = F.array().cast("array<int>")
+    return _per(values.cast("array<int>"), lambda x: F.when(F.size(x) <= 0, empty).otherwise(_per(blocked(x), carry)))
 
 
 def _spans(text: Column, pattern: str, least: int, held: int, kind: str) -> Column:
     """``(kind, start, end, value)`` of the leftmost matches whose group *held* has *least* characters.
 
-    Each match is found together with the gap before it, so lengths add up to positions; the last match is empty.
+    The lengths of the matches and of the gaps before them add up to positions.
     """
-    whole = F.lit(rf"(?s)(.*?)(?:{pattern}|\z)")
-    gaps, hits = F.regexp_extract_all(text, whole, F.lit(1)), F.regexp_extract_all(text, whole, F.lit(2))
-    values = hits if held == 2 else F.regexp_extract_all(text, whole, F.lit(held))
-    span = "array<struct<kind:string,start:int,end:int,value:string>>"
+    match = F.lit(pattern)
+    hits = F.regexp_extract_all(text, match, F.lit(1))
+    values = hits if held == 2 else F.regexp_extract_all(text, match, F.lit(held - 1))
+    pairs = F.zip_with(
+        F.arrays_zip(hits.alias("hit"), values.alias("held")), F.split(text, pattern, -1),
+        lambda x, gap: F.struct(x["hit"].alias("hit"), F.length(x["held"]).alias("n"), (F.length(gap) + F.length(x["hit"])).alias("step")))
 
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["0"])
-        end = start + F.length(x["1"])
-        found = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["1"].alias("value")))
-        spans = F.when(F.length(x["2"]) >= least, F.concat(done["spans"], found)).otherwise(done["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    def placed(found: Column) -> Column:
+        # the text after the last match has no partner
+        known = F.filter(found, lambda x: x["hit"].isNotNull())
+        ends = _running(F.transform(known, lambda x: x["step"]), lambda a, b: a + b)
+        spans = F.zip_with(known, ends, lambda x, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(x["hit"])).alias("start"), end.alias("end"), x["hit"].alias("value"), x["n"]))
+        return F.transform(F.filter(spans, lambda x: x["n"] >= least), lambda x: F.struct(x["kind"], x["start"], x["end"], x["value"]))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("spans"))
-    return F.aggregate(F.arrays_zip(gaps.alias("0"), hits.alias("1"), values.alias("2")), first, step, lambda x: x["spans"])
+    return _per(pairs, placed)
 
 
 def base_spans(text: Column) -> Column:
@@ -106,33 +143,49 @@ def _upper(z: Column) -> Column:
     return F.when(z >= 0, _normal_tail(z)).otherwise(1 - _normal_tail(-z))
 
 
-def _per(values: Column, build) -> Column:
-    """``build(x)`` with *values* evaluated once."""
-    return F.transform(F.array(values), build)[0]
+def _p_value(text: Column, alphabet: Column) -> Column:
+    """Corrected smallest p-value of the battery for the symbols of *text*, all of them in *alphabet*.
+
+    Symbols are counted first; runs and lagged products are sums of whole numbers over neighbours, in one pass.
+    """
+    symbols = F.split(alphabet, "")
+    counts = F.transform(symbols, lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))).cast("double"))
+    values = F.transform(F.split(text, ""), lambda c: F.position(c, alphabet) - 1)
+    return _per(F.struct(counts.alias("counts"), values.alias("x"), F.size(symbols).alias("k")), _battery)
+
+
+def _battery(t: Column) -> Column:
+    x, k = t["x"], t["k"]
+    before, after = F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x))
+    neighbours = F.aggregate(
+        F.zip_with(before, after, lambda a, b: F.struct(((a * 2 >= k) != (b * 2 >= k)).cast("double").alias("turn"), (a * b).cast("double").alias("product"))),
+        F.struct(F.lit(1.0).alias("runs"), F.lit(0.0).alias("product")),
+        lambda s, v: F.struct((s["runs"] + v["turn"]).alias("runs"), (s["product"] + v["product"]).alias("product")))
+    ranked = F.transform(t["counts"], lambda c, i: F.struct(c.alias("c"), i.cast("double").alias("v")))
+
+    def summed(term) -> Column:
+        return F.aggregate(ranked, F.lit(0.0), lambda s, r: s + term(r))
 
+    sums = F.struct(
+        F.size(x).cast("double").alias("n"), k.cast("double").alias("k"), neighbours.alias("pairs"), summed(lambda r: r["c"] * r["c"]).alias("squares"),
+        summed(lambda r: F.when(r["v"] * 2 >= k, r["c"]).otherwise(0.0)).alias("high"), summed(lambda r: r["c"] * r["v"]).alias("total"),
+        summed(lambda r: r["c"] * r["v"] * r["v"]).alias("second"), F.element_at(x, 1).alias("first"), F.element_at(x, -1).alias("last"))
+    return _per(sums, _from_sums)
 
-def _p_value(x: Column, k: Column) -> Column:
-    """Corrected smallest p-value of the battery for the symbol values *x* of an alphabet of *k* symbols."""
-    n = F.size(x).cast("double")
-    squares = F.aggregate(F.array_distinct(x), F.lit(0.0), lambda s, v: s + F.pow(F.size(F.filter(x, lambda y: y == v)).cast("double"), F.lit(2.0)))
+
+def _from_sums(t: Column) -> Column:
+    n, k = t["n"], t["k"]
     df = k - 1
-    chi = squares * k / n - n
-    # Wilson-Hilferty
-    z_chi = (F.cbrt(chi / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-
-    high = F.aggregate(x, F.lit(0.0), lambda s, v: s + F.when(v * 2 >= k, 1.0).otherwise(0.0))
-    runs = F.aggregate(
-        F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x)), lambda a, b: F.when((a * 2 >= k) != (b * 2 >= k), 1.0).otherwise(0.0)),
-        F.lit(1.0), lambda s, v: s + v)
-    pairs = 2 * high * (n - high)
-    expected = pairs / n + 1
+    chi = t["squares"] * k / n - n
+    z_chi = (F.cbrt(chi / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))  # Wilson-Hilferty
+
+    pairs = 2 * t["high"] * (n - t["high"])
     spread = F.sqrt(F.greatest(F.lit(1e-9), pairs * (pairs - n) / (n * n * (n - 1))))
-    z_runs = F.abs(runs - expected) / spread
+    z_runs = F.abs(t["pairs"]["runs"] - pairs / n - 1) / spread
 
-    mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
-    around = F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
-    lagged = F.aggregate(
-        F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x)), lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda s, v: s + v)
+    mean = t["total"] / n
+    around = t["second"] - n * mean * mean
+    lagged = t["pairs"]["product"] - mean * (2 * t["total"] - t["first"] - t["last"]) + (n - 1) * mean * mean
     z_serial = F.abs(lagged / F.greatest(F.lit(1e-9), around) + 1 / n) * F.sqrt(n)
 
     least = F.least(_upper(z_chi), 2 * _normal_tail(z_runs), 2 * _normal_tail(z_serial))
@@ -162,36 +215,68 @@ def tested_runs(text: Column) -> Column:
     )
 
     def tested(s: Column) -> Column:
-        code = s["encoding"]
+        code, length = s["encoding"], F.length(s["value"])
         plain = F.rtrim(F.translate(s["value"], "-_", "+/"), F.lit("="))
         cased = F.when(code.isin(0, 2, 5), F.lower(plain)).otherwise(plain)
-        alphabet = pick(code, [a for _, _, a in _ENCODINGS])
-        k = pick(code, [float(len(a)) for _, _, a in _ENCODINGS])
-        values = F.transform(F.split(cased, ""), lambda c: F.position(c, alphabet).cast("double") - 1)
-        length = F.length(s["value"])
         stratum = F.aggregate(F.array(*[F.lit(x) for x in _LENGTHS]), F.lit(0), lambda a, x: a + (length >= x).cast("int"))
-        p = _per(F.filter(values, lambda v: v >= 0), lambda x: _p_value(x, k))
+        p = _per(F.struct(cased.alias("text"), pick(code, [a for _, _, a in _ENCODINGS]).alias("alphabet")), lambda t: _p_value(t["text"], t["alphabet"]))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"), stratum.alias("length"), p.alias("p"), F.xxhash64(s["value"]).alias("value"))
 
     return F.when(text.rlike("[A-Za-z0-9+/_-]{14}[A-Za-z0-9+/_=-]{6}"), F.transform(inferred, tested)).otherwise(F.array().cast(kind))
 
 
 def thresholds(runs: DataFrame, battery: Battery) -> dict[tuple[int, int], float]:
-    """Least p-value per stratum from a table with a column ``runs`` of tested runs; strata are few and fixed."""
+    """Least p-value per stratum from a table with a column ``runs`` of tested runs; strata that report nothing have none."""
     # copies of a string count once: they would move the threshold for all others
     bins = F.least(F.lit(_BINS - 1), F.floor(F.col("r.p") * _BINS)).alias("bin")
     distinct = runs.select(F.explode("runs").alias("r")).select("r.encoding", "r.length", bins, "r.value").distinct()
-    counts = distinct.groupBy("encoding", "length", "bin").count()
-    stratum = W.partitionBy("encoding", "length")
-    above = F.sum("count").over(stratum.orderBy(F.desc("bin")))
-    random = 2 * F.sum(F.when(F.col("bin") * 2 >= _BINS, F.col("count")).otherwise(0)).over(stratum)
-    # the lowest level that takes the same strings: right above the next lower bin that holds any
-    level = (F.coalesce(F.lag("bin").over(stratum.orderBy("bin")), F.lit(-1)) + 1) / _BINS
-    # twice a binomial count of one half has the standard error sqrt(n); the surplus of few strings is not told from chance
-    falsely = F.greatest(F.lit(0.0), above - (random + battery.errors * F.sqrt(above)) * (1 - level))
-    held = counts.withColumns({"above": above, "false": falsely, "level": level}).where(F.col("false") <= battery.rate * F.col("above"))
-    rows = held.groupBy("encoding", "length").agg(F.min("level").alias("level")).collect()  # a row per stratum
-    return {(r["encoding"], r["length"]): max(battery.least, r["level"]) for r in rows}
+    rows = distinct.groupBy("encoding", "length", "bin").count().collect()  # strata and bins are few and fixed
+    counts: dict[tuple[int, int], dict[int, int]] = {}
+    for r in rows:
+        counts.setdefault((r["encoding"], r["length"]), {})[r["bin"]] = r["count"]
+    return cuts(counts, battery)
+
+
+def cuts(counts: dict[tuple[int, int], dict[int, int]], battery: Battery) -> dict[tuple[int, int], float]:
+    """Least p-value per stratum from counts of distinct strings per bin of their p-value."""
+    def random_and_all(strata) -> tuple[int, int]:
+        held = [counts[s] for s in strata]
+        return 2 * sum(n for h in held for b, n in h.items() if 2 * b >= _BINS), sum(sum(h.values()) for h in held)
+
+    out = {}
+    for encoding, length in counts:
+        random, n = random_and_all([s for s in counts if s[0] == encoding])
+        share = (random + battery.prior * _PRIOR[encoding]) / (n + battery.prior)
+        random, n = random_and_all([(encoding, length)])
+        if (random + battery.prior * share) / (n + battery.prior) < battery.share:
+            continue
+        bins, above, before = sorted(counts[encoding, length]), n, -1
+        for b in bins:
+            level = (before + 1) / _BINS  # the lowest level that takes the same strings
+            # twice a binomial count of one half has the standard error sqrt(n); words get no benefit of the doubt
+            if above - (random + battery.errors * _PRIOR[encoding] * above**0.5) * (1 - level) <= battery.rate * above:
+                out[encoding, length] = max(battery.least, level)
+                break
+            above, before = above - counts[encoding, length][b], b
+    return out
+
+
+def _apart(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span: by the furthest end before them and the nearest start after them."""
+    far = F.lit(2**31 - 1)
+    marked = F.array_sort(F.concat(
+        F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("run"), s["end"].alias("end"))),
+        F.transform(runs, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("run"), s["end"].alias("end")))))
+
+    def kept(m: Column) -> Column:
+        ends = _running(F.transform(m, lambda s: F.when(s["run"] == 0, s["end"]).otherwise(0)), F.greatest)
+        starts = F.reverse(_running(F.reverse(F.transform(m, lambda s: F.when(s["run"] == 0, s["start"]).otherwise(far))), F.least))
+        both = F.zip_with(m, F.arrays_zip(ends.alias("end"), starts.alias("start")), lambda s, near: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), ((s["run"] == 1) & (near["end"] <= s["start"]) & (near["start"] >= s["end"])).alias("free")))
+        return F.filter(both, lambda s: s["free"])
+
+    plain = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(True).alias("free")))
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), plain).otherwise(_per(marked, kept))
 
 
 def all_spans(base: Column, runs: Column, cuts: dict[tuple[int, int], float]) -> Column:
@@ -200,10 +285,10 @@ def all_spans(base: Column, runs: Column, cuts: dict[tuple[int, int], float]) ->
         cut = F.lit(2.0)
         for (encoding, length), p in sorted(cuts.items()):
             cut = F.when((r["encoding"] == encoding) & (r["length"] == length), p).otherwise(cut)
-        apart = ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        return (r["p"] >= cut) & apart
+        return r["p"] >= cut
 
-    added = F.transform(F.filter(runs, random), lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end")))
+    free = _apart(base, F.filter(runs, random))
+    added = F.transform(free, lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end")))
     plain = F.transform(base, lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end")))
     return _by_place(F.concat(plain, added))
 
@@ -234,18 +319,26 @@ def redact(docs: DataFrame, battery: Battery = Battery(), text_col: str = "text"
 
     Texts without spans, nulls and other columns stay as they are.
     """
-    text = F.col(text_col)
-    cuts = thresholds(docs.select(tested_runs(F.coalesce(text, F.lit(""))).alias("runs")), battery)
+    text = F.coalesce(F.col(text_col), F.lit(""))
     base, runs, spans = (unused(docs, x) for x in ("_base", "_runs", "_spans"))
-    found = docs.withColumns({base: base_spans(F.coalesce(text, F.lit(""))), runs: tested_runs(F.coalesce(text, F.lit("")))})
+    # scanned once: the thresholds and the replacement read it back
+    found = saved(docs.withColumns({base: base_spans(text), runs: tested_runs(text)}), "scanned")
+    cuts = thresholds(found.select(F.col(runs).alias("runs")), battery)
     found = found.withColumn(spans, all_spans(F.col(base), F.col(runs), cuts))
+    clean = F.when(F.size(spans) > 0, _replaced(F.col(text_col), F.col(spans), mark)).otherwise(F.col(text_col))
+    return found.withColumn(text_col, clean).select(*docs.columns)
+
+
+def _replaced(text: Column, spans: Column, mark: str) -> Column:
+    """*text* with *mark* for each span that starts after the ends of all before it, and without what spans cover."""
+    def pieces(t: Column) -> Column:
+        spans, chars = t["spans"], t["chars"]
+
+        def gap(s: Column, i: Column) -> Column:
+            done = F.when(i == 0, 0).otherwise(F.get(t["reached"], i - 1))
+            return F.when(s["start"] >= done, F.concat(F.array_join(F.slice(chars, done + 1, s["start"] - done), ""), F.lit(mark))).otherwise("")
 
-    def step(done: Column, s: Column) -> Column:
-        fresh = s["start"] >= done["at"]
-        gap = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        out = F.when(fresh, F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
+        return F.concat(F.array_join(F.transform(spans, gap), ""), F.array_join(F.slice(chars, F.element_at(t["reached"], -1) + 1, F.size(chars)), ""))
 
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(F.col(spans), first, step, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size(spans) > 0, clean).otherwise(text)).select(*docs.columns)
+    reached = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return _per(F.struct(spans.alias("spans"), F.split(text, "").alias("chars"), reached.alias("reached")), pieces)
