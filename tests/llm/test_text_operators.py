@@ -140,7 +140,8 @@ def test_letters_of_one_case_are_words_until_the_corpus_says_otherwise(spark):
     assert set(alone.values()) == {""}
     more = [(200 + i, "".join(r.choice(string.ascii_lowercase) for _ in range(24))) for i in range(120)]
     found = {x.doc_id: x.spans for x in secrets(spark.createDataFrame([*words, (99, key), *more], DOCS)).collect()}
-    assert found[99] == "random:0:24" and sum(found[i] != "" for i, _ in more) >= 110 and sum(found[i] != "" for i, _ in words) <= 6
+    right, wrong = sum(found[i] != "" for i, _ in more), sum(found[i] != "" for i, _ in words)
+    assert found[99] == "random:0:24" and right >= 110 and wrong <= 0.1 * (right + wrong)  # the rate is estimated: 0.05 and its error
 
 
 ALPHABETS = {"0": "0123456789abcdef", "3": string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/", "5": string.ascii_lowercase}
