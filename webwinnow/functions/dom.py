@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
-from webwinnow.functions.binding import let
+from webwinnow.functions.binding import let, running
 from webwinnow.functions.text import trim_js
 
 # The shape of the simple selectors in use.
@@ -123,17 +123,18 @@ def first_match(nodes: Column, css: Column) -> Column:
     return F.get(F.filter(nodes, lambda n: matches(n, css)), F.lit(0))
 
 
-def topmost(found: Column, element_type: str) -> Column:
-    """Drop the elements that lie inside an earlier one (input in document order)."""
-    start = F.struct(F.lit(-1).alias("end"), F.array().cast(f"array<{element_type}>").alias("out"))
-    folded = F.aggregate(
-        found,
-        start,
-        lambda acc, n: F.when(n["id"] <= acc["end"], acc).otherwise(
-            F.struct(n["last"].alias("end"), F.concat(acc["out"], F.array(n)).alias("out"))
-        ),
-    )
-    return folded["out"]
+def reached(ends: Column) -> Column:
+    """Per element in document order, how far the subtrees of the elements before it reach; -1 where there are none."""
+    return let(running(ends, F.greatest), lambda x: F.concat(F.array(F.lit(-1)), F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0)))))
+
+
+def topmost(found: Column) -> Column:
+    """Drop the elements that lie inside an earlier one (input in document order): one sweep by the furthest end so far."""
+    def swept(items):
+        free = F.zip_with(items, reached(F.transform(items, lambda n: n["last"])), lambda n, end: F.struct(n.alias("n"), (n["id"] > end).alias("free")))
+        return F.transform(F.filter(free, lambda x: x["free"]), lambda x: x["n"])
+
+    return let(found, lambda items: F.when(F.size(items) < 2, items).otherwise(swept(items)))
 
 
 def spans(found: Column) -> Column:
@@ -204,11 +205,35 @@ def trimmed_text(tok_t: Column, n: Column, gone: Column | None = None) -> Column
     return trim_js(inner_text(tok_t, n, gone))
 
 
-def link_text_length(nodes: Column, tok_t: Column, n: Column, gone: Column | None = None) -> Column:
-    """Sum of the trimmed text lengths of the links inside a node."""
-    inside = descendants(nodes, n) if gone is None else remaining(nodes, n, gone)
-    return F.aggregate(
-        F.filter(inside, lambda a: a["tag"] == "a"),
-        F.lit(0),
-        lambda total, a: total + F.length(trimmed_text(tok_t, a, gone)),
-    )
+def text_size(tok_t: Column, n: Column, gone: Column, touched: Column) -> Column:
+    """Length of a node's trimmed text; rendered again only where removed subtrees touch it."""
+    return F.when(touched, F.length(trimmed_text(tok_t, n, gone))).otherwise(n["size"])
+
+
+def with_touched(found: Column, gone: Column) -> Column:
+    """Nodes in document order -> struct(n, touched): does a removed subtree start inside the node?
+
+    One sweep from the end over nodes and removed subtrees together tells the next start after each node.
+    """
+    far = F.lit((1 << 31) - 1)
+
+    def marks(items: Column, kind: int) -> Column:
+        return F.transform(items, lambda x: F.struct(x["id"].alias("id"), F.lit(kind).alias("kind")))
+
+    def flagged(both):
+        starts = F.reverse(running(F.reverse(F.transform(both, lambda x: F.when(x["kind"] == 0, x["id"]).otherwise(far))), F.least))
+        near = F.zip_with(both, starts, lambda x, start: F.when(x["kind"] == 1, start))
+        return F.zip_with(found, F.filter(near, lambda x: x.isNotNull()), lambda n, start: F.struct(n.alias("n"), (start <= n["last"]).alias("touched")))
+
+    untouched = F.transform(found, lambda n: F.struct(n.alias("n"), F.lit(False).alias("touched")))
+    return F.when(F.size(gone) == 0, untouched).otherwise(let(F.array_sort(F.concat(marks(gone, 0), marks(found, 1))), flagged))
+
+
+def link_text_length(nodes: Column, tok_t: Column, n: Column, gone: Column) -> Column:
+    """Sum of the trimmed text lengths of the links inside a node, outside the removed subtrees."""
+    def summed(links):
+        return F.aggregate(links, F.lit(0), lambda total, x: total + text_size(tok_t, x["n"], gone, x["touched"]))
+
+    links = F.filter(remaining(nodes, n, gone), lambda a: a["tag"] == "a")
+    whole = F.exists(gone, lambda r: (r["id"] > n["id"]) & (r["last"] <= n["last"]))
+    return F.when(whole, summed(with_touched(links, gone))).otherwise(n["links"])

@@ -12,7 +12,7 @@ from webwinnow.functions.binding import let
 # White space as Python's str.strip/split and as a browser's trim see it.
 _WIDE = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _PY_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85" + _WIDE
-_JS_SPACE = "\t\n\x0b\x0c\r \ufeff" + _WIDE
+JS_SPACE = "\t\n\x0b\x0c\r \ufeff" + _WIDE
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _LINE_ENDS = r"\r\n|[\n\r\x0b\f\x1c-\x1e\u0085\u2028\u2029]"
 
@@ -24,7 +24,7 @@ def strip(c: Column) -> Column:
 
 def trim_js(c: Column) -> Column:
     """Drop white space at both ends the way a browser's ``trim`` does."""
-    return F.btrim(c, F.lit(_JS_SPACE))
+    return F.btrim(c, F.lit(JS_SPACE))
 
 
 def collapse(c: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import Column, functions as F
 from webwinnow import constants as K
 from webwinnow.functions.binding import let
 from webwinnow.functions.dom import (
-    descendants, inner_text, is_gone, join_tokens, matches, no_spans, remaining, spans, static_noise_index,
-    text_content, topmost, trimmed_text,
+    descendants, inner_text, join_tokens, matches, reached, remaining, spans, static_noise_index, text_content, text_size,
+    topmost, with_touched,
 )
 from webwinnow.functions.text import trim_js
 from webwinnow.schemas import NODE
@@ -28,25 +28,22 @@ def static_matches(nodes: Column, container: Column) -> Column:
 
 def static_gone(found: Column) -> Column:
     """Matches -> disjoint removed subtrees."""
-    return spans(topmost(found, _MATCH))
+    return spans(topmost(found))
 
 
 def static_count(found: Column) -> Column:
-    """Number of removals: a match below one removed by an earlier selector is not counted."""
-    parents = F.filter(found, lambda o: o["last"] > o["id"])
-
-    def counted(outer):
-        return F.size(
-            F.filter(
-                found,
-                lambda m: ~F.exists(
-                    outer,
-                    lambda o: (o["id"] < m["id"]) & (m["id"] <= o["last"]) & (o["rule"] < m["rule"]),
-                ),
-            )
-        )
+    """Number of removals: a match below one removed by an earlier selector is not counted.
 
-    return let(parents, counted)
+    One sweep per selector position that occurs, over how far the matches of earlier selectors reach.
+    """
+    def counted(total, rule):
+        ends = reached(F.transform(found, lambda m: F.when(m["rule"] < rule, m["last"]).otherwise(-1)))
+        free = F.zip_with(found, ends, lambda m, end: (m["rule"] == rule) & (m["id"] > end))
+        return total + F.size(F.filter(free, lambda x: x))
+
+    nested = F.exists(found, lambda m: m["last"] > m["id"])
+    rules = F.array_distinct(F.transform(found, lambda m: m["rule"]))
+    return F.when(nested, F.aggregate(rules, F.lit(0), counted)).otherwise(F.size(found))
 
 
 def dynamic_prune(nodes: Column, tok_t: Column, container: Column, gone: Column, sheet: Column) -> Column:
@@ -69,49 +66,45 @@ def dynamic_prune(nodes: Column, tok_t: Column, container: Column, gone: Column,
             return F.length(trim_js(text_content(join_tokens(tok_t, n, acc["gone"])))) <= K.NOISE_TEXT_CAP
 
         marked = F.transform(
-            acc["left"],
-            lambda n: let(
-                matches(n, css),
+            with_touched(acc["left"], acc["gone"]),
+            lambda x: let(
+                matches(x["n"], css),
                 lambda hit: F.struct(
-                    n.alias("n"),
+                    x["n"],
                     hit.alias("hit"),
-                    F.when(hit, F.length(trimmed_text(tok_t, n, acc["gone"])) <= K.NOISE_TEXT_CAP)
+                    F.when(hit, text_size(tok_t, x["n"], acc["gone"], x["touched"]) <= K.NOISE_TEXT_CAP)
                     .otherwise(False)
                     .alias("short"),
                 ),
             ),
         )
 
-        def sweep(run, m):
-            """In document order: skip what lies in a cut, cut short hits, keep the rest."""
-            n = m["n"]
-
-            def now(end=run["end"], cut=run["cut"], left=run["left"], inner=run["inner"]):
-                return F.struct(end.alias("end"), cut.alias("cut"), left.alias("left"), inner.alias("inner"))
+        def swept(m):
+            """A short hit is cut unless it lies in an earlier one; hits inside a cut are judged by their plain text."""
+            ends = reached(F.transform(m, lambda x: F.when(x["short"], x["n"]["last"]).otherwise(-1)))
+            return F.zip_with(m, ends, lambda x, end: F.struct(x["n"], x["hit"], x["short"], (x["n"]["id"] <= end).alias("inside")))
 
-            detached = F.when(m["hit"], plain_short(n)).otherwise(False)
-            return (
-                F.when(n["id"] <= run["end"], now(inner=run["inner"] + detached.cast("int")))
-                .when(m["short"], now(end=n["last"], cut=F.concat(run["cut"], spans(F.array(n)))))
-                .otherwise(now(left=F.concat(run["left"], F.array(n))))
-            )
-
-        start = F.struct(
-            F.lit(-1).alias("end"), no_spans().alias("cut"),
-            F.array().cast(f"array<{_NODE}>").alias("left"), F.lit(0).alias("inner"),
-        )
+        def picked(tagged, which):
+            return F.transform(F.filter(tagged, which), lambda x: x["n"])
 
         def commit(run):
-            kept = F.filter(acc["gone"], lambda r: ~is_gone(r, run["cut"]))
             return F.struct(
                 run["left"].alias("left"),
                 F.when(F.size(run["cut"]) == 0, acc["gone"])
-                .otherwise(F.array_sort(F.concat(kept, run["cut"])))
+                .otherwise(topmost(F.array_sort(F.concat(acc["gone"], run["cut"]))))
                 .alias("gone"),
                 (acc["removed"] + F.size(run["cut"]) + run["inner"]).alias("removed"),
             )
 
-        return let(F.aggregate(marked, start, sweep), commit)
+        def outcome(tagged):
+            below = F.filter(tagged, lambda x: x["inside"] & x["hit"])
+            return F.struct(
+                picked(tagged, lambda x: ~x["inside"] & ~x["short"]).alias("left"),
+                spans(picked(tagged, lambda x: ~x["inside"] & x["short"])).alias("cut"),
+                F.size(F.filter(below, lambda x: plain_short(x["n"]))).alias("inner"),
+            )
+
+        return let(let(let(marked, swept), outcome), commit)
 
     untouched = F.struct(gone.alias("gone"), F.lit(0).alias("removed"))
     folded = F.aggregate(

@@ -6,9 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
 from webwinnow.functions import scores
-from webwinnow.functions.dom import link_text_length, node_selector, topmost, trimmed_text
-from webwinnow.functions.text import comma_count
-from webwinnow.schemas import NODE
+from webwinnow.functions.dom import node_selector, topmost
 
 
 def is_leaf_block(n: Column) -> Column:
@@ -20,26 +18,23 @@ def is_leaf_block(n: Column) -> Column:
 def leaf_blocks(nodes: Column, container: Column) -> Column:
     """Outermost leaf blocks of the container (which may itself be one), in document order."""
     inside = F.slice(nodes, container["id"] + 1, container["last"] - container["id"] + 1)
-    return topmost(F.filter(inside, is_leaf_block), NODE.simpleString())
+    return topmost(F.filter(inside, is_leaf_block))
 
 
-def ranked_blocks(nodes: Column, tok_t: Column, container: Column) -> Column:
-    """Scored leaf blocks, best first, ties in document order; empty without a container."""
-    measured = F.transform(
+def ranked_blocks(nodes: Column, container: Column) -> Column:
+    """Scored leaf blocks, best first, ties in document order; empty without a container.
+
+    Text, link and comma counts are the element's own measures, summed up by the page scan; no text is rendered here.
+    """
+    counted = F.transform(
         leaf_blocks(nodes, container),
         lambda n: F.struct(
             n["id"].alias("id"),
             node_selector(n).alias("selector"),
-            trimmed_text(tok_t, n).alias("text"),
-            link_text_length(nodes, tok_t, n).alias("link"),
+            n["size"].alias("text"),
             (n["last"] - n["id"]).alias("tags"),
-        ),
-    )
-    counted = F.transform(
-        measured,
-        lambda b: F.struct(
-            b["id"], b["selector"], F.length(b["text"]).alias("text"), b["tags"], b["link"],
-            comma_count(b["text"]).alias("commas"),
+            n["links"].alias("link"),
+            n["commas"].alias("commas"),
         ),
     )
     scored = F.transform(

@@ -312,7 +312,7 @@ def article_text(spark, sf_dir):
 
 def _blocks(spark, sf_dir, selector):
     dom = _with_container(scan_dom(_pages(spark, sf_dir)), selector)
-    return dom.withColumn("blocks", scorer.ranked_blocks(_c("nodes"), _c("tok_t"), _c("container")))
+    return dom.withColumn("blocks", scorer.ranked_blocks(_c("nodes"), _c("container")))
 
 
 def _block_rows(df):
@@ -395,7 +395,7 @@ def mapped_container(spark, sf_dir):
         for name, start, end in MAP_VARIANTS
     ], value="html")
     pages = _pages(spark, sf_dir).select("page_id", "url", variants)
-    dom = scan_dom(pages).withColumn("m", mapper.map_container(_c("nodes"), _c("tok_t")))
+    dom = scan_dom(pages).withColumn("m", mapper.map_container(_c("nodes")))
     return dom.select("page_id", "variant", "m.selector", "m.mapper_confidence")
 
 

@@ -58,7 +58,7 @@ def scanned(pages: DataFrame) -> DataFrame:
 
 @cache
 def _map_column() -> Column:
-    return F.when(_c("nodes").isNotNull(), mapper.map_container(_c("nodes"), _c("tok_t")))
+    return F.when(_c("nodes").isNotNull(), mapper.map_container(_c("nodes")))
 
 
 def mapped(dom: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def resolved(df: DataFrame) -> DataFrame:
 
 @cache
 def _score_columns() -> tuple[Column, dict[str, Column]]:
-    return scorer.ranked_blocks(_c("nodes"), _c("tok_t"), _c("container")), {
+    return scorer.ranked_blocks(_c("nodes"), _c("container")), {
         "noise_selectors": scorer.noise_selectors(_c("blocks")),
         "scorer_confidence": scorer.confidence(_c("blocks")),
         "scored_blocks_count": F.size("blocks"),

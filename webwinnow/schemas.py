@@ -17,6 +17,10 @@ NODE = T.StructType([
     T.StructField("s", T.IntegerType()),
     T.StructField("e", T.IntegerType()),
     T.StructField("number", T.LongType()),
+    T.StructField("size", T.IntegerType()),
+    T.StructField("commas", T.IntegerType()),
+    T.StructField("links", T.IntegerType()),
+    T.StructField("inner", T.IntegerType()),
 ])
 FRAME = T.StructType([
     T.StructField("node_id", T.IntegerType()),

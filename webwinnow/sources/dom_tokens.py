@@ -13,6 +13,7 @@ from urllib.parse import urljoin
 
 from webwinnow import constants as K
 from webwinnow.sources.html_tree import RAW_TEXT, VOID
+from webwinnow.sources.measures import add_measures
 
 # Rendering groups of the HTML standard's default style sheet.
 BLOCK = frozenset(
@@ -186,10 +187,11 @@ class PageRows:
     NODE_FIELDS = (
         "id", "last", "parent", "tag", "elem_id", "classes", "foreign", "role", "rel", "hidden", "kids", "s", "e", "number",
     )
+    MEASURES = ("size", "commas", "links", "inner")  # per element, added when its page is done
     FRAME_FIELDS = ("node_id", "src", "width", "height")
 
     def __init__(self):
-        self.nodes = {f: [] for f in self.NODE_FIELDS}
+        self.nodes = {f: [] for f in self.NODE_FIELDS + self.MEASURES}
         self.frames = {f: [] for f in self.FRAME_FIELDS}
         self.t, self.h, self.m = [], [], []
         self.node_ends, self.frame_ends, self.token_ends = [0], [0], [0]
@@ -252,6 +254,7 @@ class PageRows:
             work.append((node, parent, ctx, (row, t_close, "</" + tag + ">", m_close)))
             if tag != "template":
                 work.extend((kid, me, inner, None) for kid in reversed(node.kids))
+        add_measures(n, base_n, self.t[base_t:])
         self.close_page()
 
     def _token(self, t, h, m):
