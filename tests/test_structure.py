@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webwinnow.functions.text import structure_key
+from webwinnow.operators import report
 from webwinnow.plans.extract import extract
 from webwinnow.plans.session import lookup_join
 from webwinnow.schemas import PAGES, STRUCTURE
@@ -143,3 +144,19 @@ def test_filters_on_results_stay_cheap(first, spark):
     df = extract(page_rows(spark, HTML), T0, embeds=False).where("error is null and metadata.confidence > 0.1")
     assert {name(r) for r in df.select("url").collect()} == {"links", "plain"}
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 400_000
+
+
+@pytest.mark.parametrize("outliers", [[], [1e300], [1e300, -1e300, 0.5]])
+def test_median_ranges_are_even(spark, outliers):
+    """A far outlier does not move the other values into one range."""
+    values = spark.range(1, 200_001).select(F.col("id").cast("double").alias("v"))
+    extra = spark.createDataFrame([(x,) for x in outliers], "v double")
+    rows = values.unionByName(extra).select("v", F.lit("success").alias("status"))
+    counts = report.value_counts(rows, ("v",))
+    cuts = F.array(*[F.lit(k / 512) for k in range(1, 512)])
+    whole = counts.groupBy("measure").agg(F.sum("n").alias("total"), F.percentile_approx("x", cuts, F.lit(10_240)).alias("splitters"))
+    largest = report.dealt_ranges(counts, whole).groupBy("range").count().agg(F.max("count"), F.count("*")).first()
+    assert largest[0] <= 0.01 * 200_000 and largest[1] >= 500
+    got = report.overall_report(rows, ("v",)).first()
+    everything = sorted([float(x) for x in range(1, 200_001)] + outliers)
+    assert (got["median"], got["min"], got["max"]) == (everything[len(everything) // 2], everything[0], everything[-1])

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from webwinnow.plans.session import cut_lineage
+
 _c = F.col
-MEDIAN_RANGES = 1 << 16
+RANGE_BITS = 9  # the median is looked for in one of 512 ranges of equally many distinct values
 
 
 def steady_sum(c: Column) -> Column:
@@ -58,21 +60,38 @@ def category_report(rows: DataFrame, category: str = "category", measures: tuple
     )
 
 
+def value_counts(rows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """``measure, x, n``: how often each value occurs among the successful rows."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _c(m).cast("double").alias("x")) for m in measures])
+    long = rows.where(_c("status") == "success").select(F.inline(pairs)).where(_c("x").isNotNull())
+    return long.groupBy("measure", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dealt_ranges(counts: DataFrame, whole: DataFrame) -> DataFrame:
+    """*counts* with the ``range`` of each value: how many of its measure's sorted splitters it reaches (a bisection)."""
+    met = counts.join(F.broadcast(whole.select("measure", "splitters", "total")), "measure")  # a row per measure
+    place = F.lit(0)
+    for step in (1 << k for k in reversed(range(RANGE_BITS))):
+        place = place + F.when(F.get("splitters", place + (step - 1)) <= _c("x"), step).otherwise(0)
+        met = met.withColumn("range", place)
+        place = _c("range")
+    return met.drop("splitters")
+
+
 def overall_report(rows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
     """One row per measure: minimum, maximum, mean and upper median of the successful rows.
 
-    The median is the element at ``n // 2`` of the sorted values. Equal values are counted first; the counts are dealt
-    to ranges of values, whose totals tell where the median lies, and only that range is summed up value by value.
+    The median is the element at ``n // 2`` of the sorted values. Equal values are counted first and the counts written
+    once. A quantile sketch over the distinct values gives splitters, so ranges hold about equally many of them however
+    the values are spread; totals per range tell where the median lies, and only that range is summed up value by value.
     """
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _c(m).cast("double").alias("x")) for m in measures])
-    long = rows.where(_c("status") == "success").select(F.inline(pairs)).where(_c("x").isNotNull())
-    counts = long.groupBy("measure", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(value_counts(rows, measures))
+    cuts = F.array(*[F.lit(k / (1 << RANGE_BITS)) for k in range(1, 1 << RANGE_BITS)])
     whole = counts.groupBy("measure").agg(
-        F.min("x").alias("min"), F.max("x").alias("max"), (steady_sum(_c("x") * _c("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("total"),
-    )
-    ranged = counts.join(F.broadcast(whole), "measure").withColumn(  # a row per measure
-        "range", F.floor(F.coalesce(F.try_divide(_c("x") - _c("min"), _c("max") - _c("min")), F.lit(0.0)) * MEDIAN_RANGES)
+        F.min("x").alias("min"), F.max("x").alias("max"), (steady_sum(_c("x") * _c("n")) / F.sum("n")).alias("mean"),
+        F.sum("n").alias("total"), F.percentile_approx("x", cuts, F.lit(20 << RANGE_BITS)).alias("splitters"),
     )
+    ranged = dealt_ranges(counts, whole)
     sums = ranged.groupBy("measure", "range").agg(F.sum("n").alias("in_range"), F.first("total").alias("total"))
     before = F.sum("in_range").over(Window.partitionBy("measure").orderBy("range")) - _c("in_range")
     middle = F.floor(_c("total") / 2)
