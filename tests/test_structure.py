@@ -8,6 +8,7 @@ from webwinnow.operators import report
 from webwinnow.plans.extract import extract
 from webwinnow.plans.session import lookup_join
 from webwinnow.schemas import PAGES, STRUCTURE
+from webwinnow.sources import buckets as B
 from webwinnow.sources import structure as S
 
 T0, T1 = "2026-01-01T00:00:00+00:00", "2026-01-02T00:00:00+00:00"
@@ -160,3 +161,38 @@ def test_median_ranges_are_even(spark, outliers):
     got = report.overall_report(rows, ("v",)).first()
     everything = sorted([float(x) for x in range(1, 200_001)] + outliers)
     assert (got["median"], got["min"], got["max"]) == (everything[len(everything) // 2], everything[0], everything[-1])
+
+
+def crawl_layout(spark, name, pages, structure, hot_bytes=B.HOT_BYTES):
+    layout = B.Layout(f"{name}_pages", f"{name}_structure", 4)
+    B.write_pages(pages, layout, hot_bytes=hot_bytes)
+    B.write_structure(structure, layout)
+    return layout
+
+
+def test_bucketed_lookup_moves_no_html(spark):
+    pages = page_rows(spark, HTML, 6).cache()
+    stored = S.structure_rows(extract(pages.where("page_id < 5"), T0), T0).cache()
+    layout = crawl_layout(spark, "cold", pages, stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = B.stored_lookup(spark, layout, T1)(spark.table(layout.pages))
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "ShuffledHashJoin" in plan and "Sort " not in plan
+        want = sorted(map(str, S.lookup_structure(pages, stored, T1).select(*sorted(met.columns)).collect()))
+        assert sorted(map(str, met.select(*sorted(met.columns)).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_of_many_bytes_stay_out_of_the_buckets(spark):
+    """Few rows, but wide ones: the key is hot by its bytes."""
+    wide = [(100 + i, "https://h.example/wide", f"<article><p>{WORDS * 200}</p></article>") for i in range(8)]
+    pages = page_rows(spark, HTML).unionByName(spark.createDataFrame(wide, PAGES))
+    stored = S.structure_rows(extract(pages.where("page_id < 101"), T0), T0).cache()
+    layout = crawl_layout(spark, "wide", pages, stored, hot_bytes=100_000)
+    assert spark.table(layout.hot_pages).count() == 8 and spark.table(layout.pages).count() == len(HTML)
+    got = B.extract_stored(spark, layout, T1).select("page_id", "content", "metadata", "error")
+    want = extract(pages, T1, stored).select("page_id", "content", "metadata", "error")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.where("page_id >= 100 and metadata.structure_cache_hit").count() == 8

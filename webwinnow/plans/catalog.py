@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webwinnow import constants as K
@@ -11,9 +13,9 @@ from webwinnow.functions.scores import round3
 from webwinnow.operators import embeds, mapper, pruner, quality, report, scorer, search
 from webwinnow.operators.antibot import body_reason, title_reason
 from webwinnow.plans import extract as X
-from webwinnow.plans.session import spread
+from webwinnow.plans.session import shared_folder, spread
 from webwinnow.schemas import BLOCK_ROW
-from webwinnow.sources import sinks, structure
+from webwinnow.sources import buckets, sinks, structure
 from webwinnow.sources.pages import dom_nodes, read_pages, requested_pages, scan_dom
 
 AS_OF = "2026-01-01T00:00:00+00:00"
@@ -491,6 +493,16 @@ def extract_cached(spark, sf_dir):
     return _flat(X.extract(_pages(spark, sf_dir), LATER, _structure(spark, sf_dir)))
 
 
+def extract_bucketed(spark, sf_dir):
+    """The cached path over pages and structure stored in the same buckets."""
+    name = f"crawl_{uuid4().hex}"
+    layout = buckets.Layout(f"{name}_pages", f"{name}_structure", 16)
+    folder = shared_folder(spark)
+    buckets.write_pages(_pages(spark, sf_dir), layout, f"{folder}/{name}")
+    buckets.write_structure(_structure(spark, sf_dir), layout, f"{folder}/{name}")
+    return _flat(buckets.extract_stored(spark, layout, LATER))
+
+
 def structure_upsert(spark, sf_dir):
     """Two crawls of every page; the later row of each key stays."""
     rows = structure.upsert_structure(_structure(spark, sf_dir), _structure(spark, sf_dir, LATER))
@@ -553,6 +565,6 @@ QUERIES = {
         extract_digest, category_report, category_join, overall_report, node_counts, article_text, scored_blocks,
         link_blocks, noise_blocks, scorer_confidence, static_prune, dynamic_prune, mapped_container, extract_full,
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,
-        heal_ladder, extract_cached, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
+        heal_ladder, extract_cached, extract_bucketed, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
     )
 }

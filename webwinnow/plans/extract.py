@@ -6,6 +6,7 @@ structure lookup and, for pages that hold a frame, for the embed join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -337,6 +338,7 @@ def extract(
     embeds: bool = True,
     ttl_hours: int = K.STRUCTURE_TTL_HOURS,
     web: DataFrame | None = None,
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Extract every page of ``(page_id, url, html)``; ``page_id`` is unique.
 
@@ -344,20 +346,26 @@ def extract(
     and starved hits are healed through the full path.  ``as_of`` is the
     timestamp written into results and used for expiry.  Frames load from
     ``web``, by default *pages*.  Rows fail alone: the reason is in ``error``.
+    ``lookup`` replaces the join with *structure* where pages and structure
+    are stored in the same buckets.
     """
     from webwinnow.sources.structure import lookup_structure
 
+    cached = structure is not None or lookup is not None
+
     def prepared(rows):
+        if lookup is not None:
+            return lookup(rows)
         return rows if structure is None else lookup_structure(rows, structure, as_of, ttl_hours, pages)
 
     no_embeds = F.lit(None).cast(EMBEDS)
     if not embeds:
-        return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, structure is not None)
+        return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, cached)
     framed = has_frame(_c("html"))
     plain = prepared(pages.where(~framed)).withColumn("all_embeds", no_embeds)
     texts = cut_lineage(embed_texts(pages, web).withColumnRenamed("embeds", "all_embeds"))
     with_frames = prepared(pages.where(framed)).join(texts, "page_id", "left")
-    return _run(plain.unionByName(with_frames), as_of, structure is not None)
+    return _run(plain.unionByName(with_frames), as_of, cached)
 
 
 def extract_requested(

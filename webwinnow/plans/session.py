@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -56,15 +57,23 @@ def spread(table: DataFrame) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """*df* written to the checkpoint folder and read back, by a job that runs now.
 
-    The folder is ``spark.checkpoint.dir``, which has to be storage that all executors share; a temporary folder, good
-    for local sessions, where it is unset.
+    The folder is ``spark.checkpoint.dir``, which has to be storage that all executors share.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="webwinnow-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: ``spark.checkpoint.dir``; a temporary one where it is unset, on a local master only."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.match(r"local(\[|$)", context.master) is None:
+            raise ValueError("spark.checkpoint.dir has to name storage that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="webwinnow-"))
+    return context.getCheckpointDir()
+
+
 def lookup_join(
     left: DataFrame, right: DataFrame, key: str, spread_by: str,
     hot_rows: int = 10_000, fan_out: int = 64, population: DataFrame | None = None,
