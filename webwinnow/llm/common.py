@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from webwinnow.plans.session import shared_folder as checkpoint_folder
+
 #: A word of every contract here: a run without the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -26,12 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, a temporary one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="webwinnow-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder that all executors share: ``spark.checkpoint.dir``; see the library's own helper where it is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or checkpoint_folder(spark)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

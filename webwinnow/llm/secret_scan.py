@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from webwinnow.functions.binding import let, running
 from webwinnow.llm.common import saved, unused
 
 #: Base patterns: kind, pattern with the match as first group, least length, group that it holds for.
@@ -65,32 +66,6 @@ class Battery:
     prior: float = 20.0
 
 
-def _per(values: Column, build) -> Column:
-    """``build(x)`` with *values* evaluated once."""
-    return F.transform(F.array(values), build)[0]
-
-
-def _running(values: Column, combine) -> Column:
-    """Running sums or extremes of an array: within blocks, over the blocks, and both together."""
-    def scanned(block: Column) -> Column:
-        def step(out: Column, v: Column) -> Column:
-            return F.concat(out, F.array(F.when(F.size(out) == 0, v).otherwise(combine(F.element_at(out, -1), v))))
-
-        return F.aggregate(block, F.array().cast("array<int>"), step)
-
-    def blocked(x: Column) -> Column:
-        size = F.ceil(F.sqrt(F.size(x).cast("double"))).cast("int")
-        starts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / size).cast("int"))
-        return F.transform(starts, lambda k: scanned(F.slice(x, k * size + 1, size)))
-
-    def carry(local: Column) -> Column:
-        return _per(scanned(F.transform(local, lambda block: F.element_at(block, -1))), lambda totals: F.flatten(F.transform(
-            local, lambda block, k: F.when(k == 0, block).otherwise(_per(F.get(totals, k - 1), lambda t: F.transform(block, lambda v: combine(t, v)))))))
-
-    empty = F.array().cast("array<int>")
-    return _per(values.cast("array<int>"), lambda x: F.when(F.size(x) <= 0, empty).otherwise(_per(blocked(x), carry)))
-
-
 def _spans(text: Column, pattern: str, least: int, held: int, kind: str) -> Column:
     """``(kind, start, end, value)`` of the leftmost matches whose group *held* has *least* characters.
 
@@ -106,12 +81,12 @@ def _spans(text: Column, pattern: str, least: int, held: int, kind: str) -> Colu
     def placed(found: Column) -> Column:
         # the text after the last match has no partner
         known = F.filter(found, lambda x: x["hit"].isNotNull())
-        ends = _running(F.transform(known, lambda x: x["step"]), lambda a, b: a + b)
+        ends = running(F.transform(known, lambda x: x["step"]), lambda a, b: a + b)
         spans = F.zip_with(known, ends, lambda x, end: F.struct(
             F.lit(kind).alias("kind"), (end - F.length(x["hit"])).alias("start"), end.alias("end"), x["hit"].alias("value"), x["n"]))
         return F.transform(F.filter(spans, lambda x: x["n"] >= least), lambda x: F.struct(x["kind"], x["start"], x["end"], x["value"]))
 
-    return _per(pairs, placed)
+    return let(pairs, placed)
 
 
 def base_spans(text: Column) -> Column:
@@ -151,7 +126,7 @@ def _p_value(text: Column, alphabet: Column) -> Column:
     symbols = F.split(alphabet, "")
     counts = F.transform(symbols, lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))).cast("double"))
     values = F.transform(F.split(text, ""), lambda c: F.position(c, alphabet) - 1)
-    return _per(F.struct(counts.alias("counts"), values.alias("x"), F.size(symbols).alias("k")), _battery)
+    return let(F.struct(counts.alias("counts"), values.alias("x"), F.size(symbols).alias("k")), _battery)
 
 
 def _battery(t: Column) -> Column:
@@ -170,7 +145,7 @@ def _battery(t: Column) -> Column:
         F.size(x).cast("double").alias("n"), k.cast("double").alias("k"), neighbours.alias("pairs"), summed(lambda r: r["c"] * r["c"]).alias("squares"),
         summed(lambda r: F.when(r["v"] * 2 >= k, r["c"]).otherwise(0.0)).alias("high"), summed(lambda r: r["c"] * r["v"]).alias("total"),
         summed(lambda r: r["c"] * r["v"] * r["v"]).alias("second"), F.element_at(x, 1).alias("first"), F.element_at(x, -1).alias("last"))
-    return _per(sums, _from_sums)
+    return let(sums, _from_sums)
 
 
 def _from_sums(t: Column) -> Column:
@@ -219,7 +194,7 @@ def tested_runs(text: Column) -> Column:
         plain = F.rtrim(F.translate(s["value"], "-_", "+/"), F.lit("="))
         cased = F.when(code.isin(0, 2, 5), F.lower(plain)).otherwise(plain)
         stratum = F.aggregate(F.array(*[F.lit(x) for x in _LENGTHS]), F.lit(0), lambda a, x: a + (length >= x).cast("int"))
-        p = _per(F.struct(cased.alias("text"), pick(code, [a for _, _, a in _ENCODINGS]).alias("alphabet")), lambda t: _p_value(t["text"], t["alphabet"]))
+        p = let(F.struct(cased.alias("text"), pick(code, [a for _, _, a in _ENCODINGS]).alias("alphabet")), lambda t: _p_value(t["text"], t["alphabet"]))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), code.alias("encoding"), stratum.alias("length"), p.alias("p"), F.xxhash64(s["value"]).alias("value"))
 
     return F.when(text.rlike("[A-Za-z0-9+/_-]{14}[A-Za-z0-9+/_=-]{6}"), F.transform(inferred, tested)).otherwise(F.array().cast(kind))
@@ -269,14 +244,14 @@ def _apart(base: Column, runs: Column) -> Column:
         F.transform(runs, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("run"), s["end"].alias("end")))))
 
     def kept(m: Column) -> Column:
-        ends = _running(F.transform(m, lambda s: F.when(s["run"] == 0, s["end"]).otherwise(0)), F.greatest)
-        starts = F.reverse(_running(F.reverse(F.transform(m, lambda s: F.when(s["run"] == 0, s["start"]).otherwise(far))), F.least))
+        ends = running(F.transform(m, lambda s: F.when(s["run"] == 0, s["end"]).otherwise(0)), F.greatest)
+        starts = F.reverse(running(F.reverse(F.transform(m, lambda s: F.when(s["run"] == 0, s["start"]).otherwise(far))), F.least))
         both = F.zip_with(m, F.arrays_zip(ends.alias("end"), starts.alias("start")), lambda s, near: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), ((s["run"] == 1) & (near["end"] <= s["start"]) & (near["start"] >= s["end"])).alias("free")))
         return F.filter(both, lambda s: s["free"])
 
     plain = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(True).alias("free")))
-    return F.when((F.size(base) == 0) | (F.size(runs) == 0), plain).otherwise(_per(marked, kept))
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), plain).otherwise(let(marked, kept))
 
 
 def all_spans(base: Column, runs: Column, cuts: dict[tuple[int, int], float]) -> Column:
@@ -340,5 +315,5 @@ def _replaced(text: Column, spans: Column, mark: str) -> Column:
 
         return F.concat(F.array_join(F.transform(spans, gap), ""), F.array_join(F.slice(chars, F.element_at(t["reached"], -1) + 1, F.size(chars)), ""))
 
-    reached = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
-    return _per(F.struct(spans.alias("spans"), F.split(text, "").alias("chars"), reached.alias("reached")), pieces)
+    reached = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return let(F.struct(spans.alias("spans"), F.split(text, "").alias("chars"), reached.alias("reached")), pieces)
