@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webwinnow import constants as K
 from webwinnow.functions import text as tx
-from webwinnow.functions.dom import first_match, inner_text, no_spans, parse_selector, trimmed_text
+from webwinnow.functions.dom import first_match, inner_text, join_tokens, no_spans, parse_selector, trimmed_text
 from webwinnow.functions.scores import round3
-from webwinnow.operators import embeds, mapper, pruner, quality, report, scorer, search
+from webwinnow.operators import embeds, mapper, pruner, quality, report, scorer, search, validator
 from webwinnow.operators.antibot import body_reason, title_reason
 from webwinnow.plans import extract as X
 from webwinnow.plans.session import shared_folder, spread
@@ -307,6 +307,25 @@ def node_counts(spark, sf_dir):
     )
 
 
+def element_html(spark, sf_dir):
+    """Serialised HTML of an element that every page has, and of one that no page has."""
+    dom = _with_container(scan_dom(_pages(spark, sf_dir)), "nav")
+    missing = first_match(_c("nodes"), parse_selector(F.lit("main")))
+    return dom.select(
+        "page_id", join_tokens(_c("tok_h"), _c("container")).alias("html"), join_tokens(_c("tok_h"), missing).alias("none"))
+
+
+def missing_container(spark, sf_dir):
+    """A selector that matches nothing: no blocks, nothing removed, no text, not found."""
+    dom = _with_container(scan_dom(_pages(spark, sf_dir)), "main")
+    found = pruner.static_matches(_c("nodes"), _c("container"))
+    text = inner_text(_c("tok_t"), _c("container"))
+    stats = validator.container_stats(_c("nodes"), _c("tok_t"), _c("container"), no_spans(), text)
+    blocks = scorer.ranked_blocks(_c("nodes"), _c("container"))
+    return dom.select(
+        "page_id", F.size(blocks).alias("blocks"), pruner.static_count(found).alias("removed"), text.alias("text"), stats["found"].alias("found"))
+
+
 def article_text(spark, sf_dir):
     dom = _with_container(scan_dom(_pages(spark, sf_dir)), "article")
     return dom.select("page_id", trimmed_text(_c("tok_t"), _c("container")).alias("text"))
@@ -483,6 +502,50 @@ def heal_ladder(spark, sf_dir):
     )
 
 
+def heal_on_ladder(spark, sf_dir):
+    """Pages whose container is itself a rung of the ladder: it is not tried again, the body is."""
+    html = F.replace(
+        F.replace(_c("html"), F.lit("<article>"), F.lit("<main><nav>")), F.lit("</article>"), F.lit("</nav>tiny</main>"),
+    )
+    rows = X.extract(_pages(spark, sf_dir).withColumn("html", html), AS_OF)
+    return _flat(rows).select("page_id", "selector", "mapper_confidence", "pruned_static", "text_length", "error")
+
+
+def _framed(spark, sf_dir):
+    """Each page with frames of all kinds at the end of its article; the one that counts shows the next page."""
+    pages = _pages(spark, sf_dir)
+    nxt = pages.select((_c("page_id") - 1).alias("page_id"), _c("url").alias("src"))
+    frames = F.concat(
+        F.lit('<iframe width="299" height="200" src="'), _c("src"), F.lit('"></iframe><iframe width="300" height="200" src="'), _c("src"),
+        F.lit('"></iframe><iframe width="640" height="480" src="https://ads.example/x"></iframe>'
+              '<iframe width="640" height="480" src="about:blank"></iframe><iframe width="640" height="480"></iframe></article>'),
+    )
+    return pages.join(nxt, "page_id", "left").select(
+        "page_id", "url",
+        F.when(_c("src").isNull(), _c("html")).otherwise(F.replace(_c("html"), F.lit("</article>"), frames)).alias("html"),
+    )
+
+
+def frame_filter(spark, sf_dir):
+    """All declared frames and the significant ones among them."""
+    dom = scan_dom(_framed(spark, sf_dir))
+    kept = embeds.page_frames(dom).groupBy("page_id").agg(F.count(F.lit(1)).alias("significant"), F.max("src").alias("src"))
+    return dom.select("page_id", F.size("frames").cast("long").alias("declared")).join(kept, "page_id", "left").select(
+        "page_id", "declared", F.coalesce("significant", F.lit(0)).alias("significant"), "src"
+    )
+
+
+def embed_section(spark, sf_dir):
+    """The section that each page's frame appends to its text."""
+    return embeds.embed_texts(_framed(spark, sf_dir)).select("page_id", embeds.embed_sections(_c("embeds")).alias("section"))
+
+
+def extract_framed(spark, sf_dir):
+    """The full path over pages with frames: the frame phase does work."""
+    return _flat(X.extract(_framed(spark, sf_dir), AS_OF)).select(
+        "page_id", "selector", "iframes_extracted", "pruned_total", "text_length", "error")
+
+
 # -- structure table ----------------------------------------------------------------
 
 def _structure(spark, sf_dir, as_of=AS_OF):
@@ -526,6 +589,12 @@ def structure_invalidate(spark, sf_dir):
     return structure.invalidate_structure(rows, urls).select("page_id", "key")
 
 
+def structure_clear(spark, sf_dir):
+    """Rows dropped by clearing the table, and rows left."""
+    left, removed = structure.clear_structure(_stub_structure(_pages(spark, sf_dir)))
+    return left.agg(F.count(F.lit(1)).alias("kept")).select(F.lit(removed).cast("long").alias("removed"), "kept")
+
+
 def _stub_structure(pages):
     return pages.select(
         "page_id", tx.structure_key(_c("url")).alias("key"), "url", F.lit("article").alias("selector"),
@@ -565,6 +634,7 @@ QUERIES = {
         extract_digest, category_report, category_join, overall_report, node_counts, article_text, scored_blocks,
         link_blocks, noise_blocks, scorer_confidence, static_prune, dynamic_prune, mapped_container, extract_full,
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,
-        heal_ladder, extract_cached, extract_bucketed, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
+        heal_ladder, extract_cached, extract_bucketed, heal_on_ladder, frame_filter, embed_section,
+        extract_framed, structure_clear, element_html, missing_container, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
     )
 }
