@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, con, name):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_stages(spark):
