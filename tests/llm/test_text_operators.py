@@ -312,3 +312,13 @@ def test_licences(spark, awkward):
 def test_each_known_sentence_is_recognised(name):
     hits = licence_scan.sentence_hits(f"Text before.\n{licence_scan.SENTENCES[name]}\nText after.")
     assert [h.identifier for h in hits] == [name]
+
+
+def test_short_items_keep_a_bound(spark):
+    """An item of 18 bytes may lose no edit to the lemma: none is allowed where an edit could break every q-gram."""
+    lemma = Lemma()
+    assert [int(lemma.edits(m)) for m in (10, 17, 19, 20, 40, 200)] == [0, 0, 0, 1, 2, 12]
+    assert all(int(lemma.bound(m)) >= 1 for m in range(10, 400))
+    items = spark.createDataFrame([(1, "abcdefghijklmnopqr")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "x abcdefghijklmnopqr y"), (2, "x abcdefghiZklmnopqr y")], DOCS)
+    assert [(r.doc_id, r.edits) for r in contaminated(docs, items, lemma).collect()] == [(1, 0)]
