@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from webwinnow.operators.antibot import body_reason, title_reason
 from webwinnow.plans import extract as X
 from webwinnow.plans.session import shared_folder, spread
 from webwinnow.schemas import BLOCK_ROW
-from webwinnow.sources import buckets, sinks, structure
+from webwinnow.sources import buckets, sinks, structure, versions
 from webwinnow.sources.pages import dom_nodes, read_pages, requested_pages, scan_dom
 
 AS_OF = "2026-01-01T00:00:00+00:00"
@@ -238,11 +239,22 @@ def _request_items(spark, sf_dir):
     )
 
 
-def result_envelopes(spark, sf_dir):
-    requests = _requests(spark, sf_dir).unionByName(
+def _all_requests(spark, sf_dir):
+    """The requests, and one without URLs for each."""
+    return _requests(spark, sf_dir).unionByName(
         _requests(spark, sf_dir).select((-_c("request_id") - 1).alias("request_id"), F.array().cast("array<string>").alias("urls"))
     )
-    return sinks.request_envelopes(requests, _request_items(spark, sf_dir), "results")
+
+
+def result_envelopes(spark, sf_dir):
+    return sinks.request_envelopes(_all_requests(spark, sf_dir), _request_items(spark, sf_dir), "results")
+
+
+def envelope_lines(spark, sf_dir):
+    """The same envelopes as lines, written and read back."""
+    path = f"{shared_folder(spark)}/envelopes_{uuid4().hex}"
+    sinks.write_envelopes(_all_requests(spark, sf_dir), _request_items(spark, sf_dir), path, "results")
+    return spark.read.schema("value string, request_id long").text(path).select("request_id", _c("value").alias("line"))
 
 
 def extract_digest(spark, sf_dir):
@@ -606,6 +618,32 @@ def _stub_structure(pages):
     )
 
 
+def _structure_store(spark, sf_dir):
+    """A store of five versions: empty, all pages, the English ones a day later, without those, cleared."""
+    root = f"{shared_folder(spark)}/structure_{uuid4().hex}"
+    blocks = F.lit(None).cast(f"array<{BLOCK_ROW.simpleString()}>")
+    crawl = _stub_structure(_pages(spark, sf_dir)).withColumn("scored_blocks", blocks)
+    english = crawl.where(_c("url").contains("/en/"))
+    versions.create_store(spark, root)
+    versions.upsert_store(spark, root, crawl)
+    versions.upsert_store(spark, root, english.withColumn("cached_at", F.lit(LATER).cast("timestamp")))
+    versions.invalidate_store(spark, root, english.select("url"))
+    versions.clear_store(spark, root)
+    return root
+
+
+def structure_versions(spark, sf_dir):
+    """Rows of every part in every version, and which parts the version wrote."""
+    return versions.history(spark, _structure_store(spark, sf_dir))
+
+
+def structure_as_of(spark, sf_dir):
+    """The rows of every version, read after the last one was written."""
+    root = _structure_store(spark, sf_dir)
+    tables = [versions.read_store(spark, root, v).withColumn("version", F.lit(v)) for v in range(5)]
+    return reduce(DataFrame.unionByName, tables).select("version", "key", "url", F.unix_seconds("cached_at").alias("cached_at"))
+
+
 def structure_heal(spark, sf_dir):
     """Cached structure over pages that went empty: the hits starve and take the full path."""
     emptied = _pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", r"(?s)<body>.*", "<body>gone</body>"))
@@ -636,5 +674,6 @@ QUERIES = {
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,
         heal_ladder, extract_cached, extract_bucketed, heal_on_ladder, frame_filter, embed_section,
         extract_framed, structure_clear, element_html, missing_container, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
+        structure_versions, structure_as_of, envelope_lines,
     )
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from webwinnow.operators.report import summary
+from webwinnow.plans.session import lookup_join
 
 _c = F.col
 _JSON = {"ignoreNullFields": "false"}
+_END = (1 << 63) - 1
 
 
 def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -38,6 +40,41 @@ def request_envelopes(requests: DataFrame, results: DataFrame, payload: str = "d
     )
 
 
+def envelope_lines(requests: DataFrame, results: DataFrame, payload: str = "data") -> DataFrame:
+    """``(request_id, place, line)``: the texts of :func:`request_envelopes` in lines, to be read in order of ``place``.
+
+    An opening line, a line per item and a closing line, so requests of any length stay rows. ``request_id`` is unique
+    in *requests*, ``(request_id, pos)`` in *results*; items of other requests are left out.
+    """
+    item = F.to_json(F.struct(*[c for c in results.columns if c not in ("request_id", "pos")]), _JSON)
+    valid = F.coalesce(F.size("urls"), F.lit(0)) > 0
+    first = results.groupBy("request_id").agg(F.min("pos").alias("first"))
+    asked = requests.where(valid).select("request_id").join(first, "request_id")
+    items = lookup_join(results.select("request_id", "pos", item.alias("item")), asked, "request_id", "pos")
+    body = items.where(_c("first").isNotNull()).select(
+        "request_id", _c("pos").cast("long").alias("place"),
+        F.concat(F.when(_c("pos") > _c("first"), F.lit(",")).otherwise(F.lit("")), _c("item")).alias("line"),
+    )
+    failed = F.to_json(F.struct(F.lit(False).alias("success"), F.lit("urls required (list of strings)").alias("error")))
+
+    def line(place, text):
+        return F.struct(F.lit(place).cast("long").alias("place"), text.alias("line"))
+
+    around = F.when(valid, F.array(line(-1, F.lit(f'{{"success":true,"{payload}":[')), line(_END, F.lit("]}"))))
+    return body.unionByName(requests.select("request_id", F.inline(around.otherwise(F.array(line(-1, failed))))))
+
+
+def write_envelopes(requests: DataFrame, results: DataFrame, path: str, payload: str = "data") -> None:
+    """Write one JSON text per request under *path*: ``request_id=.../part-*.txt``, to be read in order of the names.
+
+    Rows are dealt by ranges of request and place and sorted within them, so a task holds one open file and a long
+    request is spread over many tasks.
+    """
+    lines = envelope_lines(requests, results, payload).repartitionByRange("request_id", "place")
+    ordered = lines.sortWithinPartitions("request_id", "place").select("request_id", "line")
+    ordered.write.mode("errorifexists").partitionBy("request_id").text(path)
+
+
 def search_envelopes(requests: DataFrame, results: DataFrame) -> DataFrame:
     """``(query, envelope)``: one JSON text per search request; a missing query gives an error.
 
