@@ -5,7 +5,8 @@ files are committed as a whole and survive lost executors. They are read as bina
 
 Deduplication shuffles headers only: records meet by payload digest, one response per digest stays, and the others are
 written as revisits that refer to it. Payloads go from the archives that are read straight into the ones that are
-written, all with fresh headers.
+written, all with fresh headers: source files are worked off in blocks whose list of revisits has a bounded size and is
+sent to the tasks that read the block.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webwinnow.llm.common import saved, shared_folder
+from webwinnow.plans.session import lookup_join
 
 _END = "\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -33,10 +35,14 @@ _HEADERS = {
 
 @dataclass(frozen=True)
 class Archive:
-    """Payloads of at least ``least`` bytes are deduplicated; an archive file holds at most ``records`` records."""
+    """Payloads of at least ``least`` bytes are deduplicated; an archive file holds at most ``records`` records.
+
+    A block of source files has about ``verdicts`` new revisits (some 200 bytes each, sent to every executor).
+    """
 
     least: int = 1000
     records: int = 500
+    verdicts: int = 500_000
 
 
 def _header(name: str, value: Column) -> Column:
@@ -58,10 +64,10 @@ def _record(record_type: Column, payload: Column) -> Column:
     )
 
 
-def _write(records: DataFrame, path: str, archive: Archive) -> str:
+def _write(records: DataFrame, path: str, archive: Archive, mode: str = "errorifexists") -> str:
     (
         records.write.option("lineSep", _END * 2).option("compression", "gzip").option("maxRecordsPerFile", archive.records)
-        .option("zlib.compress.level", "BEST_SPEED").text(path)
+        .option("zlib.compress.level", "BEST_SPEED").mode(mode).text(path)
     )
     return path
 
@@ -89,19 +95,31 @@ def _records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             yield headers, block[block.index(b"\r\n\r\n") + 4 :]
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
-    """Headers of all records, bytes and digest of their payloads, and with *payloads* the payloads."""
-    names = [*_HEADERS, "payload_bytes", "payload_sha1"] + ["payload"] * payloads
-    kinds = [pa.string()] * len(_HEADERS) + [pa.int64(), pa.string()] + [pa.binary()] * payloads
+def _block(file: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(file), F.lit(blocks))
+
+
+def _files(spark: SparkSession, path: str, block: tuple[int, int] | None) -> DataFrame:
+    """``(file, content)`` of the archives under *path*; of block ``(n, blocks)`` only, other files are not opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    if block:
+        files = files.where(_block(F.col("_metadata.file_path"), block[1]) == block[0])
+    return files.select(F.col("_metadata.file_path").alias("file"), "content")
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool, block: tuple[int, int] | None = None) -> DataFrame:
+    """Headers and files of all records, bytes and digest of their payloads, and with *payloads* the payloads."""
+    names = [*_HEADERS, "file", "payload_bytes", "payload_sha1"] + ["payload"] * payloads
+    kinds = [pa.string()] * (len(_HEADERS) + 1) + [pa.int64(), pa.string()] + [pa.binary()] * payloads
 
     def parse(batches):
         for batch in batches:
-            for content in batch.column(0):
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows, held = [], 0
                 for headers, payload in _records(content.as_py()):
                     values = [headers.get(x) for x in _HEADERS.values()]
                     values = [v.strip("<>") if v and n in ("record_id", "refers_to") else v for n, v in zip(_HEADERS, values)]
-                    rows.append([*values, len(payload), hashlib.sha1(payload).hexdigest()] + [payload] * payloads)
+                    rows.append([*values, file, len(payload), hashlib.sha1(payload).hexdigest()] + [payload] * payloads)
                     held += len(payload) * payloads + 400
                     if held > 2 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -110,8 +128,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     schema = ", ".join(f"{n} {'bigint' if k == pa.int64() else 'binary' if k == pa.binary() else 'string'}" for n, k in zip(names, kinds))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    read = files.mapInArrow(parse, schema).withColumn("digest", F.regexp_replace("digest", "^sha1:", ""))
+    read = _files(spark, path, block).mapInArrow(parse, schema).withColumn("digest", F.regexp_replace("digest", "^sha1:", ""))
     return read.withColumn("payload", F.col("payload").cast("string")) if payloads else read
 
 
@@ -135,14 +152,38 @@ def deduplicate(spark: SparkSession, source: str, target: str, archive: Archive
     groups = full.groupBy("payload_sha1").agg(F.max(original)["record_id"].alias("original"), F.count("*").alias("n"))
     groups = groups.join(known, groups["payload_sha1"] == known["d"], "left").where((F.col("n") > 1) | F.col("d").isNotNull())
     groups = saved(groups.select(F.col("payload_sha1").alias("of"), "original"), "originals")
-    records = read_archives(spark, source, payloads=True)
-    actual = F.when(F.col("record_type") == "revisit", F.col("digest")).otherwise(F.col("payload_sha1"))
-    met = records.withColumn("digest", actual).join(groups, F.col("digest") == F.col("of"), "left")
-    again = F.col("original").isNotNull() & (F.col("original") != F.col("record_id"))
+    keyed = headers.select("file", "record_id", _digest().alias("of"))
+    met = lookup_join(keyed, groups, "of", "record_id").where(F.col("original") != F.col("record_id"))
+    verdicts = saved(met.select("file", "record_id", "of", "original").distinct(), "verdicts")
+
+    blocks = max(1, -(-verdicts.count() // archive.verdicts))
+    at = _block(F.col("file"), blocks)
+    sizes = dict(verdicts.groupBy(at).count().collect())  # a row per block
+    for n in range(blocks):
+        again = verdicts.where(at == n).select("record_id", "of", "original").distinct()
+        rows = _rewritten(spark, source, again, sizes.get(n, 0), (n, blocks), archive)
+        _write(rows.select(_record(F.col("kind"), F.col("payload")).alias("value")), target, archive, "append" if n else "errorifexists")
+    return target
+
+
+def _digest() -> Column:
+    """What a record is told by: a revisit by its header, a response by the bytes that were read."""
+    return F.when(F.col("record_type") == "revisit", F.col("digest")).otherwise(F.col("payload_sha1"))
+
+
+def _rewritten(spark: SparkSession, source: str, verdicts: DataFrame, size: int, block: tuple[int, int], archive: Archive) -> DataFrame:
+    """The records of a block with fresh headers; *verdicts* name its new revisits.
+
+    The list is broadcast up to twice the size that blocks are planned for; only a block of files so full of copies
+    that it is longer joins by key.
+    """
+    records = read_archives(spark, source, True, block if block[1] > 1 else None).withColumn("digest", _digest())
+    listed = verdicts.withColumnRenamed("of", "digest")
+    met = records.join(F.broadcast(listed) if size <= 2 * archive.verdicts else listed, ["record_id", "digest"], "left")
+    again = F.col("original").isNotNull()
     kind = F.when(again | (F.col("record_type") == "revisit"), "revisit").otherwise("response")
     refers = F.when(again, _fresh(F.col("original"))).otherwise(F.col("refers_to"))
-    rows = met.select("page_id", "uri", "digest", kind.alias("kind"), F.when(kind == "response", F.col("payload")).alias("payload"), refers.alias("refers_to"), _fresh(F.col("record_id")).alias("record_id"))
-    return _write(rows.select(_record(F.col("kind"), F.col("payload")).alias("value")), target, archive)
+    return met.select("page_id", "uri", "digest", kind.alias("kind"), F.when(kind == "response", F.col("payload")).alias("payload"), refers.alias("refers_to"), _fresh(F.col("record_id")).alias("record_id"))
 
 
 def resolved(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
@@ -153,10 +194,12 @@ def resolved(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFra
     rows = read_archives(spark, path, payloads=False).withColumn("page_id", F.expr(f"try_cast(page_id as {id_type})"))
     rows = saved(rows, "records")
     responses = rows.where(F.col("record_type") != "revisit")
-    originals = responses.select(F.col("record_id").alias("o"), F.col("page_id").alias("p"), F.col("payload_bytes").alias("b"), F.col("payload_sha1").alias("s"))
-    revisits = rows.where(F.col("record_type") == "revisit").join(originals, F.col("refers_to") == F.col("o"), "left")
+    found = F.struct(F.col("page_id").alias("p"), F.col("payload_bytes").alias("b"), F.col("payload_sha1").alias("s"))
+    originals = responses.groupBy(F.col("record_id").alias("refers_to")).agg(F.max(found).alias("found"))
+    revisits = lookup_join(rows.where(F.col("record_type") == "revisit"), originals, "refers_to", "record_id").select(
+        "page_id", F.col("found.b").alias("payload_bytes"), F.coalesce("found.s", "digest").alias("payload_digest"), "record_type", F.col("found.p").alias("refers_to"))
     plain = responses.select("page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type", F.lit(None).cast(id_type).alias("refers_to"))
-    return plain.unionByName(revisits.select("page_id", F.col("b").alias("payload_bytes"), F.coalesce("s", "digest").alias("payload_digest"), "record_type", F.col("p").alias("refers_to")))
+    return plain.unionByName(revisits)
 
 
 def revisit_table(pages: DataFrame, archive: Archive = Archive(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
