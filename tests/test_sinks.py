@@ -58,6 +58,19 @@ def test_lines_give_the_envelopes(spark):
     assert lines == {r.request_id: r.envelope for r in sinks.request_envelopes(requests, results).collect()}
 
 
+def test_digests_are_written_in_order_over_many_files(spark, tmp_path):
+    results = item_rows(spark, 20_000, 0).unionByName(item_rows(spark, 1, 1)).withColumns(
+        {"title": F.when(F.col("pos") % 2 == 0, F.lit("T")), "content": F.when(F.col("pos") % 5 > 0, F.lit("a\n\nb"))})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_digests(results, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = written(tmp_path / "out")
+    assert got[0][0] > 1
+    assert {k: text for k, (_, text) in got.items()} == {r.request_id: r.digest for r in sinks.extract_digest(results).collect()}
+
+
 def test_no_requests(spark, tmp_path):
     none = spark.createDataFrame([], REQUESTS)
     sinks.write_envelopes(none, item_rows(spark, 2, 0), str(tmp_path / "out"))

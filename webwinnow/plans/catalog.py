@@ -261,6 +261,11 @@ def extract_digest(spark, sf_dir):
     return sinks.extract_digest(_request_items(spark, sf_dir))
 
 
+def digest_lines(spark, sf_dir):
+    """The same digests, a row per item."""
+    return sinks.digest_lines(_request_items(spark, sf_dir))
+
+
 def search_envelopes(spark, sf_dir):
     """Envelopes of every source as a query, of a query without hits, and of a missing query."""
     asked = _documents(spark, sf_dir).select(
@@ -674,6 +679,6 @@ QUERIES = {
         validation, final_confidence, markdown, pass_histogram, extract_metrics, report_summary, embedded_frames,
         heal_ladder, extract_cached, extract_bucketed, heal_on_ladder, frame_filter, embed_section,
         extract_framed, structure_clear, element_html, missing_container, structure_upsert, structure_fresh, structure_invalidate, structure_heal, structure_next,
-        structure_versions, structure_as_of, envelope_lines,
+        structure_versions, structure_as_of, envelope_lines, digest_lines,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from webwinnow.operators.report import summary
 from webwinnow.plans.session import lookup_join
@@ -70,9 +70,12 @@ def write_envelopes(requests: DataFrame, results: DataFrame, path: str, payload:
     Rows are dealt by ranges of request and place and sorted within them, so a task holds one open file and a long
     request is spread over many tasks.
     """
-    lines = envelope_lines(requests, results, payload).repartitionByRange("request_id", "place")
-    ordered = lines.sortWithinPartitions("request_id", "place").select("request_id", "line")
-    ordered.write.mode("errorifexists").partitionBy("request_id").text(path)
+    _write_lines(envelope_lines(requests, results, payload), path)
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
+    dealt = lines.repartitionByRange("request_id", "place").sortWithinPartitions("request_id", "place")
+    dealt.select("request_id", "line").write.mode("errorifexists").partitionBy("request_id").text(path)
 
 
 def search_envelopes(requests: DataFrame, results: DataFrame) -> DataFrame:
@@ -95,20 +98,21 @@ def search_envelopes(requests: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def extract_digest(results: DataFrame) -> DataFrame:
-    """``(request_id, digest)``: the items of a request as one Markdown text."""
+def _digest_part() -> Column:
+    """The Markdown of an item, without its last line end."""
     def filled(name, other):
         return F.coalesce(F.nullif(_c(name), F.lit("")), other)
 
-    part = F.when(
-        F.coalesce(_c("error"), F.lit("")) != "",
-        F.concat(F.lit("### ❌ "), _c("url"), F.lit("\n"), _c("error"), F.lit("\n")),
+    return F.when(
+        F.coalesce(_c("error"), F.lit("")) != "", F.concat(F.lit("### ❌ "), _c("url"), F.lit("\n"), _c("error"))
     ).otherwise(
-        F.concat(
-            F.lit("### 📄 "), filled("title", _c("url")), F.lit("\n\n"), filled("content", F.lit("*No content*")),
-            F.lit("\n"),
-        )
+        F.concat(F.lit("### 📄 "), filled("title", _c("url")), F.lit("\n\n"), filled("content", F.lit("*No content*")))
     )
+
+
+def extract_digest(results: DataFrame) -> DataFrame:
+    """``(request_id, digest)``: the items of a request as one Markdown text."""
+    part = F.concat(_digest_part(), F.lit("\n"))
     grouped = results.groupBy("request_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", part.alias("part")))).alias("parts")
     )
@@ -117,6 +121,22 @@ def extract_digest(results: DataFrame) -> DataFrame:
     )
 
 
+def digest_lines(results: DataFrame) -> DataFrame:
+    """``(request_id, place, line)``: the texts of :func:`extract_digest`, a row per item, each to be followed by a line end.
+
+    ``(request_id, pos)`` is unique in *results*.
+    """
+    first = results.groupBy("request_id").agg(F.min("pos").alias("first"))
+    items = lookup_join(results.select("request_id", "pos", _digest_part().alias("part")), first, "request_id", "pos")
+    between = F.when(_c("pos") > _c("first"), F.lit("\n---\n")).otherwise(F.lit(""))
+    return items.select("request_id", _c("pos").cast("long").alias("place"), F.concat(between, "part").alias("line"))
+
+
+def write_digests(results: DataFrame, path: str) -> None:
+    """Write one Markdown text per request under *path*, laid out as by :func:`write_envelopes`."""
+    _write_lines(digest_lines(results), path)
+
+
 def metrics(extracted: DataFrame) -> DataFrame:
     """One row per extraction that reached its finish."""
     return extracted.where(_c("finished")).select(
