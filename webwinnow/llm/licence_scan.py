@@ -55,10 +55,39 @@ SENTENCES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
         " products derived from this software without specific prior written permission."
     ),
+    "isc-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "unlicense-free": "This is free and unencumbered software released into the public domain.",
+    "unlicense-anyone": (
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form"
+        " or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "gpl2-free": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any"
+        " later version."
+    ),
+    "gpl2-only": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License version 2 as published by the Free Software Foundation."
+    ),
+    "lgpl21-free": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)"
+        " any later version."
+    ),
+    "lgpl-received": "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    "mpl2-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "spdx-mit": "SPDX-License-Identifier: MIT",
     "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
     "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-only",
     "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-isc": "SPDX-License-Identifier: ISC",
+    "spdx-mpl2": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-unlicense": "SPDX-License-Identifier: Unlicense",
 }
 
 #: Ordered rules: licence, identifiers in the order in which they have to appear.
@@ -69,10 +98,13 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)), ("CC-BY-NC-4.0", ("cc-by-nc-work",)), ("CC-BY-4.0", ("cc-by-notice",)), ("CC-BY-4.0", ("cc-by-work",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-notice",)), ("CC-BY-SA-4.0", ("cc-by-sa-work",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")), ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")), ("BSD-3-Clause", ("spdx-bsd3",)),
+    ("GPL-2.0-or-later", ("gpl2-free", "gpl-received")), ("GPL-2.0", ("gpl2-only",)), ("LGPL-2.1-or-later", ("lgpl21-free", "lgpl-received")),
+    ("ISC", ("isc-grant",)), ("ISC", ("spdx-isc",)), ("Unlicense", ("unlicense-free", "unlicense-anyone")), ("Unlicense", ("spdx-unlicense",)),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-copy")), ("MPL-2.0", ("spdx-mpl2",)),
 )
 
 #: Every known sentence holds one of these, so texts without them are not cut up at all.
-HINT = re.compile(r"licen|permi|redistribut", re.IGNORECASE)
+HINT = re.compile(r"licen|permi|redistribut|unencumbered|anyone is free|mozilla", re.IGNORECASE)
 _MARKS = re.compile(r"[^a-z0-9]+")
 _END = re.compile(r"(?<=[.!?;:])\s+")
 
@@ -100,21 +132,22 @@ def _parts(text: str) -> list[tuple[int, int]]:
 
 def sentence_hits(text: str) -> list[Hit]:
     """Known sentences of *text* in order. A sentence may be broken over lines or hold inner marks, so runs of pieces are
-    tried, longest first, up to the words of the longest known sentence; a piece belongs to one sentence."""
-    spans = _parts(text)
-    words = [normal(text[a:b]) for a, b in spans]
+    tried, longest first, up to the words of the longest known sentence; a piece belongs to one sentence. Pieces without
+    words are left out first, so a run has no more pieces than words."""
+    pieces = [(a, normal(text[a:b])) for a, b in _parts(text)]
+    starts, words = [a for a, w in pieces if w], [w for _, w in pieces if w]
     hits, i = [], 0
-    while i < len(spans):
+    while i < len(words):
         run, found, joined = 0, None, ""
-        for j in range(i, len(spans)):
+        for j in range(i, len(words)):
             joined = f"{joined} {words[j]}".strip()
-            run += words[j].count(" ") + bool(words[j])
+            run += words[j].count(" ") + 1
             if run > _LONGEST:
                 break
-            if joined in _KNOWN and words[j]:
+            if joined in _KNOWN:
                 found = j, _KNOWN[joined]
-        if found and words[i]:
-            hits.append(Hit(found[1], spans[i][0]))
+        if found:
+            hits.append(Hit(found[1], starts[i]))
             i = found[0]
         i += 1
     return hits
