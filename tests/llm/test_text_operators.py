@@ -7,10 +7,11 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from webwinnow.llm import compression_classifier, licence_scan, toxicity
+from webwinnow.llm import compression_classifier, decontamination, licence_scan, toxicity
 from webwinnow.llm.decontamination import Lemma, contaminated, decontaminated
 from webwinnow.llm.quality_rules import keep_quality, quality_verdicts
 from webwinnow.llm.secret_scan import Battery, redact, secrets, tested_runs, thresholds
@@ -322,3 +323,29 @@ def test_short_items_keep_a_bound(spark):
     items = spark.createDataFrame([(1, "abcdefghijklmnopqr")], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, "x abcdefghijklmnopqr y"), (2, "x abcdefghiZklmnopqr y")], DOCS)
     assert [(r.doc_id, r.edits) for r in contaminated(docs, items, lemma).collect()] == [(1, 0)]
+
+
+def test_sliced_postings_equal_whole_ones(monkeypatch):
+    """Rows of more postings than a slice are worked off in parts, with the same matches."""
+    common = prose(1, 30)
+    items = [f"{common} {prose(k, 12)}" for k in range(6)] + [common, "abc " * 9, "ab" * 12]
+    texts = [prose(50, 20), " ".join(items), "abc " * 40, None, f"x {items[3]} y {items[3]}", "", f"{items[6][:40]}Q{items[6][41:]}"]
+    index = decontamination.Items(pa.array(range(len(items))), pa.array(items), Lemma())
+    data = decontamination.text_bytes(pa.array(texts))
+    whole = sorted(index.matches(*data))
+    assert len(whole) == 9 + 1 + 2 + 1 and (4, 3, 0) in whole and (6, 6, 1) in whole
+    for size in (1, 7, 100, 3_000):
+        monkeypatch.setattr(decontamination, "_SLICE", size)
+        assert sorted(index.matches(*data)) == whole
+
+
+def test_many_item_blocks_meet_gathered_texts(spark):
+    """More blocks than one, and texts gathered in several lots, give what one block gives, in one pass over the texts."""
+    items = spark.createDataFrame([(k, prose(300 + k, 14)) for k in range(40)], "item_id int, text string")
+    docs = spark.createDataFrame([(d, f"{prose(d, 30)} {prose(300 + d % 60, 14)}") for d in range(200)], DOCS).repartition(2)
+    one, many = Lemma(), Lemma(block_bytes=500, gather_bytes=2_000)
+    want = sorted(map(tuple, contaminated(docs, items, one).collect()))
+    got = contaminated(docs, items, many)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 140
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert decontaminated(docs, items, many).count() == 60

@@ -6,20 +6,24 @@ an item of ``m`` bytes with at most ``e`` edits shares at least ``m - q + 1 - q
 two neighbouring cells are a band, bands overlap by a cell, so one band holds all of them. Bands that reach the bound
 are aligned with the item.
 
-The items go to the tasks in blocks of bounded size, each of which meets all documents in one narrow pass without a
-shuffle.
+The items go to the tasks in blocks of bounded size. All documents are read once, in one narrow pass without a shuffle: a
+task gathers some megabytes of texts and holds them against one block after the other, so it has one block's index in
+memory whatever the number of items.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from webwinnow.llm.common import mix, text_bytes
+from webwinnow.llm.common import mix, shared_folder, text_bytes
 
 _NORM = np.full(256, 32, np.uint8)
 _NORM[48:58] = np.arange(48, 58)
@@ -32,11 +36,15 @@ _SLICE = 1 << 20
 
 @dataclass(frozen=True)
 class Lemma:
-    """q, edits as a share of the item's bytes, bytes of items per block. Items under ``q`` bytes are no passages."""
+    """q, edits as a share of the item's bytes, bytes of items per block, bytes of texts gathered where blocks are several.
+
+    Items under ``q`` bytes are no passages.
+    """
 
     q: int = 10
     budget: float = 0.06
     block_bytes: int = 4 << 20
+    gather_bytes: int = 32 << 20
 
     def edits(self, m):
         """Edits allowed; no more than leave one q-gram whole wherever they fall, which binds for short items."""
@@ -74,11 +82,10 @@ def _grams(x: np.ndarray, q: int) -> np.ndarray:
 class Items:
     """Index of one block of items: q-gram codes with the items and places that hold them."""
 
-    def __init__(self, ids: list, texts: list[str], lemma: Lemma):
-        data, offsets = text_bytes(pa.array(texts, pa.string()))
-        data, offsets = normalised(data, offsets)
+    def __init__(self, ids: pa.Array, texts: pa.Array, lemma: Lemma):
+        data, offsets = normalised(*text_bytes(texts))
         long = np.flatnonzero(np.diff(offsets) >= lemma.q)
-        self.lemma, self.ids = lemma, [ids[i] for i in long]
+        self.lemma, self.ids = lemma, ids.take(pa.array(long))
         self.bytes = [data[offsets[i] : offsets[i + 1]] for i in long]
         self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         self.edits, self.bounds = lemma.edits(self.sizes), lemma.bound(self.sizes)
@@ -105,6 +112,57 @@ class Items:
             found.append(at[same])
         return np.concatenate(places or [np.zeros(0, np.int64)]), np.concatenate(found or [np.zeros(0, np.int64)])
 
+    def _postings(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per item and place that hold one of the q-grams *code*: the number of the q-gram, the item, the place."""
+        times = self.ptr[code + 1] - self.ptr[code]
+        base = np.cumsum(times) - times
+        slot = np.arange(times.sum()) - np.repeat(base - self.ptr[code], times)
+        return np.repeat(np.arange(len(code)), times), self.item[slot], self.place[slot]
+
+    def _runs(self, at: np.ndarray, code: np.ndarray, row: np.ndarray) -> Iterator[list[slice]]:
+        """Runs of whole rows of about a slice of postings; a row of more comes as several slices."""
+        through = np.concatenate([[0], np.cumsum(self.ptr[code + 1] - self.ptr[code])])
+        a = 0
+        while a < len(code):
+            b = int(np.searchsorted(through, through[a] + _SLICE, side="right")) - 1
+            if b < len(code):
+                b = int(np.searchsorted(row, row[max(a, b)]))
+            if b > a:
+                yield [slice(a, b)]
+            else:
+                b = int(np.searchsorted(row, row[a], side="right"))
+                steps = np.searchsorted(through, np.arange(through[a] + _SLICE, through[b], _SLICE))
+                cuts = np.unique(np.clip(np.concatenate([[a], steps, [b]]), a, b)).tolist()
+                yield [slice(*cut) for cut in zip(cuts, cuts[1:])]
+            a = b
+
+    def _cells(self, parts: list[slice], at: np.ndarray, code: np.ndarray, row: np.ndarray) -> dict[tuple[int, int], int]:
+        """Shared q-grams per pair and cell of diagonals, for pairs that share enough of them in total."""
+
+        def postings():
+            for part in parts:
+                number, item, place = self._postings(code[part])
+                yield row[part][number] * len(self.ids) + item, item, at[part][number] - place
+
+        held = list(postings()) if len(parts) == 1 else None
+        pairs, shared = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for pair, _, _ in held or postings():
+            found, count = np.unique(pair, return_counts=True)
+            pairs, which = np.unique(np.concatenate([pairs, found]), return_inverse=True)
+            shared = np.bincount(which, np.concatenate([shared, count])).astype(np.int64)
+        pairs = pairs[shared >= self.bounds[pairs % len(self.ids)]]
+        counts: dict[tuple[int, int], int] = {}
+        for pair, item, diagonal in (held or postings()) if len(pairs) else ():
+            enough = pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair
+            if not enough.any():
+                continue
+            pair, item, diagonal = pair[enough], item[enough], diagonal[enough]
+            cell = np.floor_divide(diagonal, 2 * self.edits[item] + 1)
+            keys, count = np.unique(np.stack([pair, cell]), axis=1, return_counts=True)
+            for p, c, n in zip(*keys.tolist(), count.tolist()):
+                counts[p, c] = counts.get((p, c), 0) + n
+        return counts
+
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``(row, item, edits)`` of rows that hold an item within its edit budget."""
         if not len(self.codes):
@@ -114,34 +172,21 @@ class Items:
         row = np.searchsorted(offsets, at, side="right") - 1
         inside = at + self.lemma.q <= offsets[row + 1]
         at, code, row = at[inside], code[inside], row[inside]
-        times = self.ptr[code + 1] - self.ptr[code]
-        base = np.cumsum(times) - times
-        slot = np.arange(times.sum()) - np.repeat(base - self.ptr[code], times)
-        item, place = self.item[slot], self.place[slot]
-        row, diagonal = np.repeat(row, times), np.repeat(at - offsets[row], times) - place
-        # a row and an item need the bound in total before bands are looked at
-        pair = row * len(self.ids) + item
-        _, which, count = np.unique(pair, return_inverse=True, return_counts=True)
-        enough = count[which] >= self.bounds[item]
-        pair, row, item, place, diagonal = pair[enough], row[enough], item[enough], place[enough], diagonal[enough]
-        if not len(pair):
-            return
-        width = 2 * self.edits[item] + 1
-        cell = np.floor_divide(diagonal, width)
-        keys, count = np.unique(np.stack([pair, cell]), axis=1, return_counts=True)
-        counts = {(p, c): n for (p, c), n in zip(keys.T.tolist(), count.tolist())}
-        best: dict[int, int] = {}
-        for p, c in sorted({(p, k) for p, c in counts for k in (c - 1, c)}):
-            i = p % len(self.ids)
-            if p in best and best[p] == 0 or counts.get((p, c), 0) + counts.get((p, c + 1), 0) < self.bounds[i]:
-                continue
-            r, e = p // len(self.ids), int(self.edits[i])
-            low = c * (2 * e + 1)
-            edits = self._align(x[offsets[r] : offsets[r + 1]], i, low - e, low + 2 * (2 * e + 1) + e)
-            if edits <= e:
-                best[p] = min(edits, best.get(p, edits))
-        for p, edits in best.items():
-            yield p // len(self.ids), p % len(self.ids), edits
+        at = at - offsets[row]
+        for parts in self._runs(at, code, row):
+            counts = self._cells(parts, at, code, row)
+            best: dict[int, int] = {}
+            for p, c in sorted({(p, k) for p, c in counts for k in (c - 1, c)}):
+                i = p % len(self.ids)
+                if best.get(p) == 0 or counts.get((p, c), 0) + counts.get((p, c + 1), 0) < self.bounds[i]:
+                    continue
+                r, e = p // len(self.ids), int(self.edits[i])
+                low = c * (2 * e + 1)
+                edits = self._align(x[offsets[r] : offsets[r + 1]], i, low - e, low + 2 * (2 * e + 1) + e)
+                if edits <= e:
+                    best[p] = min(edits, best.get(p, edits))
+            for p, edits in best.items():
+                yield p // len(self.ids), p % len(self.ids), edits
 
     def _align(self, text: np.ndarray, i: int, low: int, high: int) -> int:
         """Least edits of item *i* against a part of *text* that starts on a diagonal of ``low .. high``."""
@@ -164,14 +209,56 @@ class Items:
         return int(cost.min())
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, lemma: Lemma) -> Iterator[Items]:
-    """The items in blocks of about ``block_bytes``; only one block at a time is on the driver."""
+def _blocks(items: DataFrame, id_col: str, text_col: str, lemma: Lemma) -> list[Broadcast]:
+    """The items in broadcast blocks of about ``block_bytes``, or one item where that is longer.
+
+    Spark keeps a broadcast in files and in its block managers, so the driver's memory holds one block at a time and the
+    plan none; a task fetches a block when it comes to it.
+    """
+    spark = items.sparkSession
     items = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // lemma.block_bytes))
-    for k in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).orderBy("id", "text").collect()
-        yield Items([r["id"] for r in mine], [r["text"] for r in mine], lemma)
+    blocks = -(-size // lemma.block_bytes)
+    if blocks <= 1:
+        return [spark.sparkContext.broadcast(items.toArrow())]
+    path = f"{shared_folder(spark)}/items-{uuid.uuid4().hex}"
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    dealt.repartition("block").write.partitionBy("block").parquet(path)
+    stored = spark.read.schema(T.StructType([*items.schema.fields, T.StructField("block", T.LongType())])).parquet(path)
+    return [spark.sparkContext.broadcast(stored.where(F.col("block") == k).drop("block").toArrow()) for k in range(blocks)]
+
+
+@lru_cache(maxsize=1)
+def _index(block: Broadcast, lemma: Lemma) -> Items:
+    """The index of a block; a Python worker keeps the last one from task to task."""
+    rows = block.value.combine_chunks()
+    return Items(*[c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in rows.columns], lemma)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about *limit* bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _found(batches: Iterator[pa.RecordBatch], at: int, blocks: list[Broadcast], lemma: Lemma) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Each batch with what its texts (column *at*) hold: per block the block's ids and ``(row, item, edits)``."""
+    order = list(blocks)
+    for held in _gathered(batches, lemma.gather_bytes if len(order) > 1 else 0):
+        found = [[] for _ in held]
+        for block in order:
+            index = _index(block, lemma)
+            for k, batch in enumerate(held):
+                found[k].append((index.ids, list(index.matches(*text_bytes(batch.column(at))))))
+        order.reverse()  # the next texts begin with the block that is indexed
+        yield from zip(held, found)
 
 
 def contaminated(
@@ -186,42 +273,26 @@ def contaminated(
     """
     kinds = dict(docs.dtypes)[id_col], dict(items.dtypes)[item_id]
     schema = f"`{id_col}` {kinds[0]}, `{item_id}` {kinds[1]}, edits int"
-    texts, found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), []
-
-    def scan(index: Items):
-        ids = pa.array(index.ids) if any(x is not None for x in index.ids) else None
+    blocks = _blocks(items, item_id, item_text, lemma)
 
-        def run(batches):
-            for batch in batches:
-                rows = list(index.matches(*text_bytes(batch.column(1))))
+    def run(batches):
+        for batch, found in _found(batches, 1, blocks, lemma):
+            for ids, rows in found:
                 if rows:
                     at, item, edits = (pa.array(x, pa.int64()) for x in zip(*rows))
-                    named = ids.take(item) if ids is not None else pa.nulls(len(item))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), named, edits.cast(pa.int32())], [id_col, item_id, "edits"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), ids.take(item), edits.cast(pa.int32())], [id_col, item_id, "edits"])
 
-        return run
-
-    for index in _blocks(items, item_id, item_text, lemma):
-        found.append(texts.mapInArrow(scan(index), schema))
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, lemma: Lemma = Lemma(), text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of *docs* that hold no item, columns unchanged; see ``contaminated`` for the edge cases."""
-    at = docs.columns.index(text_col)
-
-    def scan(index: Items):
-        def run(batches):
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, _, _ in index.matches(*text_bytes(batch.column(at)))]] = False
-                yield batch.filter(pa.array(clean))
+    at, blocks = docs.columns.index(text_col), _blocks(items, item_id, item_text, lemma)
 
-        return run
+    def run(batches):
+        for batch, found in _found(batches, at, blocks, lemma):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for _, rows in found for row, _, _ in rows]] = False
+            yield batch.filter(pa.array(clean))
 
-    for index in _blocks(items, item_id, item_text, lemma):
-        docs = docs.mapInArrow(scan(index), docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
