@@ -205,7 +205,7 @@ def plain(text):
 
 
 def least_edits(item, text):
-    """Edits of *item* against its best part of *text*, both as bytes."""
+    """Edits of *item* against its best part of *text*, in bytes or in characters."""
     before = np.zeros(len(text) + 1, int)
     for c in item:
         now = np.empty_like(before)
@@ -349,3 +349,34 @@ def test_many_item_blocks_meet_gathered_texts(spark):
     assert sorted(map(tuple, got.collect())) == want and len(want) == 140
     assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert decontaminated(docs, items, many).count() == 60
+
+
+def test_edits_count_characters(spark):
+    """An edited letter outside ASCII is one edit; brute force over the characters agrees."""
+    r = random.Random(4)
+    letters = "äöüßéñ漢字😀 abcde"
+    items = [(k, "é" + "".join(r.choice(letters) for _ in range(60)) + "ß") for k in range(6)]
+    docs = []
+    for d in range(60):
+        text = items[d % 6][1]
+        for _ in range(d // 10):
+            k = r.randrange(len(text))
+            text = text[:k] + r.choice(["", "漢", "é", "x"]) + text[k + 1 :]
+        docs.append((d, f"före {text} 終わり"))
+    lemma = Lemma()
+    got = {(x.doc_id, x.item_id): x.edits for x in contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string"), lemma).collect()}
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            m = plain(item)
+            e = least_edits(m, plain(text))
+            if e <= int(lemma.edits(len(m))):
+                want[d, i] = e
+    assert got == want and 20 <= len(want) < 60 and max(want.values()) == 3
+
+
+def test_code_points_of_broken_bytes():
+    rows = ["aé漢😀".encode(), b"", b"\xff\xe9\x80a", "é".encode()]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    x, at = decontamination.code_points(data, offsets)
+    assert at.tolist() == [0, 4, 4, 8, 9] and x[:4].tolist() == [ord(c) for c in "aé漢😀"] and x[8] == ord("é")

@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma on diagonal bands, verified by banded alignment.
 
-Texts are compared as normalised bytes: A-Z lower-cased, every run of other ASCII marks one blank. A passage that holds
-an item of ``m`` bytes with at most ``e`` edits shares at least ``m - q + 1 - q * e`` of its q-grams, all on diagonals
+Texts are compared as normalised characters: A-Z lower-cased, every run of other ASCII marks one blank. A passage that
+holds an item of ``m`` characters with at most ``e`` edits shares at least ``m - q + 1 - q * e`` of its q-grams, all on diagonals
 (place in the text minus place in the item) within a range of ``2e + 1``. Diagonals are counted in cells of that width;
 two neighbouring cells are a band, bands overlap by a cell, so one band holds all of them. Bands that reach the bound
 are aligned with the item.
@@ -30,15 +30,16 @@ _NORM[48:58] = np.arange(48, 58)
 _NORM[65:91] = np.arange(97, 123)
 _NORM[97:123] = np.arange(97, 123)
 _NORM[128:] = np.arange(128, 256)
+_BASE = 0xD1342543DE82EF95
 _BITS = 22
 _SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
 class Lemma:
-    """q, edits as a share of the item's bytes, bytes of items per block, bytes of texts gathered where blocks are several.
+    """q (8 to 16), edits as a share of the item's characters, bytes of items per block and of texts gathered for several.
 
-    Items under ``q`` bytes are no passages.
+    Items under ``q`` characters are no passages.
     """
 
     q: int = 10
@@ -56,7 +57,7 @@ class Lemma:
 
 
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised bytes and row offsets; rows neither start nor end with a blank."""
+    """Normalised code points and row offsets; rows neither start nor end with a blank."""
     x = _NORM[data]
     blank = x == 32
     keep = ~blank
@@ -67,14 +68,26 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = at[1:][at[1:] > at[:-1]] - 1
     tail = np.zeros(len(x), bool)
     tail[ends] = x[ends] == 32
-    return x[~tail], at - np.concatenate([[0], np.cumsum(tail)])[at]
+    return code_points(x[~tail], at - np.concatenate([[0], np.cumsum(tail)])[at])
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 rows, and the rows' offsets among them; a byte that is not UTF-8 is a character of its own."""
+    if not (data & 0x80).any():
+        return data.astype(np.uint32), offsets
+    at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    text = data.tobytes().decode("utf-8", "surrogateescape")
+    if len(text) != at[-1]:
+        rows = [data[a:b].tobytes().decode("utf-8", "surrogateescape") for a, b in zip(offsets[:-1], offsets[1:])]
+        text, at = "".join(rows), np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), at
 
 
 def _grams(x: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit code of each q-gram, q >= 8."""
+    """A 64-bit code of each q-gram, q of 8 to 16: two polynomials of eight characters, which overlap where q is less than 16."""
     c = x.astype(np.uint64)
     for width in (1, 2, 4):
-        c = (c[: len(c) - width] << np.uint64(8 * width)) | c[width:]
+        c = c[: len(c) - width] * np.uint64(pow(_BASE, width, 1 << 64)) + c[width:]
     size = len(x) - q + 1
     return mix(c[:size] * np.uint64(0x9E3779B97F4A7C15) ^ mix(c[q - 8 : q - 8 + size].copy()))
 
@@ -86,10 +99,10 @@ class Items:
         data, offsets = normalised(*text_bytes(texts))
         long = np.flatnonzero(np.diff(offsets) >= lemma.q)
         self.lemma, self.ids = lemma, ids.take(pa.array(long))
-        self.bytes = [data[offsets[i] : offsets[i + 1]] for i in long]
-        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
+        self.texts = [data[offsets[i] : offsets[i + 1]] for i in long]
+        self.sizes = np.array([len(x) for x in self.texts], np.int64)
         self.edits, self.bounds = lemma.edits(self.sizes), lemma.bound(self.sizes)
-        codes = [_grams(x, lemma.q) for x in self.bytes]
+        codes = [_grams(x, lemma.q) for x in self.texts]
         flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.codes, starts = np.unique(flat[order], return_index=True)
@@ -190,13 +203,14 @@ class Items:
 
     def _align(self, text: np.ndarray, i: int, low: int, high: int) -> int:
         """Least edits of item *i* against a part of *text* that starts on a diagonal of ``low .. high``."""
-        item = self.bytes[i]
+        item = self.texts[i]
         m, big = len(item), len(item) + 1
         region = text[max(0, low) : max(0, high + m)]
-        if item.tobytes() in region.tobytes():
+        found = region.tobytes().find(item.tobytes())
+        if found >= 0 and found % item.itemsize == 0:
             return 0
         band = high - low + 1
-        padded = np.zeros(m + band, np.uint8)  # byte 0 never occurs in normalised text
+        padded = np.zeros(m + band, np.uint32)  # 0 never occurs in normalised text
         padded[max(0, -low) : max(0, -low) + len(region)] = region[: m + band - max(0, -low)]
         steps = np.arange(band)
         inside = (low + steps >= 0) & (low + steps <= len(text))
@@ -267,7 +281,7 @@ def contaminated(
 ) -> DataFrame:
     """``id, item id, edits`` for each row of *docs* and item that it holds within the edit budget, fewest edits.
 
-    Null and empty texts hold nothing; null items and items under ``q`` normalised bytes match nothing; repeated items
+    Null and empty texts hold nothing; null items and items under ``q`` normalised characters match nothing; repeated items
     count once, repeated rows each. Null ids stay null. Other columns are ignored. An empty table on either side gives
     an empty result.
     """
