@@ -131,13 +131,15 @@ def votes(s) -> list[Column]:
     return [F.when(bad(s), -1).when(good(s), 1).otherwise(0) for _, bad, good in RULES]
 
 
-def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteModel:
+def expectation_maximisation(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, false_alarm: float = FALSE_ALARM,
+) -> VoteModel:
     """A rule's accuracy on good and on bad documents, from vote patterns and how many documents show each.
 
     Starts from all-must-pass (any bad vote: probably bad), then alternates between the posterior of each pattern and
-    the share of good votes, silences and bad votes of each rule among good and among bad documents. A rule's weight
-    never turns against the meaning of its vote, and a good vote at most quadruples the odds, since documents are bad in
-    different ways and pass most rules; silence adds nothing. Half a document is added to every count.
+    the share of good votes, silences and bad votes of each rule among good and among bad documents. Half a document is
+    added to every count. One thing bends the plain estimate: ``false_alarm`` (1: none) limits how often a rule may be
+    wrong about good documents.
     """
     n = counts.sum()
     shown = np.stack([patterns == v for v in (-1, 0, 1)]).astype(float)  # vote, pattern, rule
@@ -146,9 +148,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
         good, bad = counts * q, counts * (1 - q)
         share = np.clip((good.sum() + 0.5) / (n + 1), 0.01, 0.99)
         odds = np.log((good @ shown + 0.5) / (good.sum() + 1.5)) - np.log((bad @ shown + 0.5) / (bad.sum() + 1.5))
-        seldom = np.log(FALSE_ALARM) - np.log((bad @ shown[0] + 0.5) / (bad.sum() + 1.5))
-        odds[0] = np.minimum(odds[0], seldom)
-        odds[0], odds[1], odds[2] = np.minimum(odds[0], 0), 0, np.clip(odds[2], 0, np.log(4))
+        odds[0] = np.minimum(odds[0], np.log(false_alarm) - np.log((bad @ shown[0] + 0.5) / (bad.sum() + 1.5)))
         prior = np.log(share / (1 - share))
         now = 1 / (1 + np.exp(-(prior + np.einsum("vpr,vr->p", shown, odds))))
         moved = np.abs(now - q).max()
@@ -158,13 +158,18 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return VoteModel(float(prior), tuple(tuple(x) for x in odds.T.tolist()))
 
 
-def fit_votes(judged: DataFrame, name: str = "stats") -> VoteModel:
-    """The model for a table with the struct column *name*; an empty table has one without weights."""
-    counted = judged.where(~base_failed(F.col(name))).select(F.array(*votes(F.col(name))).alias("v")).groupBy("v").count().collect()  # at most 3 ** len(RULES)
-    rows = sorted((tuple(r["v"]), r["count"]) for r in counted)
+def vote_patterns(judged: DataFrame, name: str = "stats") -> tuple[np.ndarray, np.ndarray]:
+    """Vote patterns of the documents that pass the base rules, and their counts: at most ``3 ** len(RULES)`` rows."""
+    voted = judged.where(~base_failed(F.col(name))).select(F.array(*votes(F.col(name))).alias("v"))
+    rows = sorted((tuple(r["v"]), r["count"]) for r in voted.groupBy("v").count().collect())
     if not rows:
-        return expectation_maximisation(np.zeros((1, len(RULES))), np.zeros(1), 1)
-    return expectation_maximisation(np.array([v for v, _ in rows], float), np.array([n for _, n in rows], float))
+        return np.zeros((1, len(RULES))), np.zeros(1)
+    return np.array([v for v, _ in rows], float), np.array([n for _, n in rows], float)
+
+
+def fit_votes(judged: DataFrame, name: str = "stats") -> VoteModel:
+    """The model for a table with the struct column *name*; an empty table has one without evidence."""
+    return expectation_maximisation(*vote_patterns(judged, name))
 
 
 def kept(s, model: VoteModel) -> Column:
