@@ -1,12 +1,15 @@
 """Structure table: cached path, expiry, healing, upsert; lookup joins under skew."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from webwinnow.functions.text import structure_key
 from webwinnow.operators import report
 from webwinnow.plans.extract import extract
-from webwinnow.plans.session import lookup_join
+from webwinnow.plans import session
+from webwinnow.plans.session import hot_hashes, lookup_join
 from webwinnow.schemas import PAGES, STRUCTURE
 from webwinnow.sources import buckets as B
 from webwinnow.sources import structure as S
@@ -196,3 +199,35 @@ def test_keys_of_many_bytes_stay_out_of_the_buckets(spark):
     want = extract(pages, T1, stored).select("page_id", "content", "metadata", "error")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert got.where("page_id >= 100 and metadata.structure_cache_hit").count() == 8
+
+
+def test_lookup_join_spreads_few_wide_rows(spark):
+    """Eighty rows of 100 KB on one key: hot by bytes, though not by rows; each salt gets a part of them."""
+    wide = F.when(F.col("id") < 80, F.repeat(F.lit("x"), 100_000)).otherwise("y")
+    left = spark.range(400).select(F.col("id").alias("page_id"), F.when(F.col("id") < 80, "wide").otherwise(F.col("id").cast("string")).alias("k"), wide.alias("html"))
+    right = spark.createDataFrame([("wide", 1), ("100", 2), ("nobody", 3), (None, 4)], "k string, v int")
+    weigh, limit = F.octet_length("html"), 1 << 20
+    assert [r["_h"] for r in hot_hashes(left, "k", 10_000, weigh, limit).collect()] == [spark.range(1).select(F.xxhash64(F.lit("wide"))).first()[0]]
+    joined = lookup_join(left, right, "k", "page_id", fan_out=4, weigh=weigh, hot_bytes=limit)
+    rows = joined.select("page_id", "v").collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(400))
+    assert {r["page_id"]: r["v"] for r in rows if r["v"]} == {**{k: 1 for k in range(80)}, 100: 2}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shares = joined.where("v = 1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(shares) > 1 and max(r["count"] for r in shares) < 80
+
+
+def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
+    """More hot keys than the list holds: the heaviest are salted, the others joined as they are, and no row is lost."""
+    monkeypatch.setattr(session, "MOST_HOT", 3)
+    left = spark.range(600).select(F.col("id").alias("page_id"), F.floor(F.sqrt("id")).cast("string").alias("k"))
+    right = spark.range(30).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    heaviest = {r["_h"] for r in hot_hashes(left, "k", 5, None, 1 << 20).collect()}
+    assert heaviest == {r[0] for r in spark.createDataFrame([("23",), ("22",), ("21",)], "k string").select(F.xxhash64("k")).collect()}
+    got = {r["page_id"]: r["v"] for r in lookup_join(left, right, "k", "page_id", hot_rows=5, fan_out=4).collect()}
+    assert got == {k: math.isqrt(k) for k in range(600)}

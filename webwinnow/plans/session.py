@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import webwinnow
 
@@ -74,22 +74,42 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Entries of the list of hot keys that joins broadcast: hashes of eight bytes, so it stays under a few MB at any size.
+MOST_HOT = 100_000
+
+
+def hot_hashes(table: DataFrame, key: str, hot_rows: int, weigh: Column | None, hot_bytes: int) -> DataFrame:
+    """``(_h)``: hashes of the keys of more than *hot_rows* rows, or more than *hot_bytes* by *weigh*; heaviest first.
+
+    At most ``MOST_HOT`` of them; the order is total, so each evaluation gives the same list.
+    """
+    size = F.sum(weigh.cast("long")) if weigh is not None else F.lit(0)
+    sizes = table.groupBy(F.xxhash64(key).alias("_h")).agg(F.count("*").alias("n"), F.coalesce(size, F.lit(0)).alias("bytes"))
+    hot = sizes.where((F.col("n") > hot_rows) | (F.col("bytes") > hot_bytes))
+    return hot.orderBy(F.desc("bytes"), F.desc("n"), "_h").limit(MOST_HOT).select("_h", F.lit(True).alias("_hot"))
+
+
 def lookup_join(
     left: DataFrame, right: DataFrame, key: str, spread_by: str,
     hot_rows: int = 10_000, fan_out: int = 64, population: DataFrame | None = None,
+    weigh: Column | None = None, hot_bytes: int = 256 << 20,
 ) -> DataFrame:
     """Left join onto *right*, which has one row per *key*, without piling hot keys on one task.
 
-    Keys with more than ``hot_rows`` left rows are found by a pre-aggregated
-    count; their left rows spread over ``fan_out`` salts and only their right
-    rows are repeated.  The broadcast list of hot keys is bounded: it holds at
-    most (left rows / hot_rows) keys.  ``population`` may name a table, cheaper
-    to read than *left*, that holds all of its keys.
+    Keys with more than ``hot_rows`` left rows, or more than ``hot_bytes`` by ``weigh`` (a column of bytes per row), are
+    found by a pre-aggregated sum; their left rows spread over ``fan_out`` salts and only their right rows are repeated.
+    The broadcast list of their hashes is bounded by ``MOST_HOT``; keys beyond it are joined without salts, where adaptive
+    execution splits skewed partitions. ``population`` may name a table, cheaper to read than *left*, that holds all of
+    its keys (and what ``weigh`` reads).
     """
-    hot = (left if population is None else population).groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot"))
+    hot = hot_hashes(left if population is None else population, key, hot_rows, weigh, hot_bytes)
+
+    def marked(df):
+        return df.join(F.broadcast(hot), F.xxhash64(df[key]) == F.col("_h"), "left").drop("_h")
+
     # a null key matches nothing, so its rows may go anywhere
     salt = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(fan_out)).cast("int")).otherwise(0)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
-    salted = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")
-    repeated = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    salted = marked(left).withColumn("_salt", salt).drop("_hot")
+    repeated = marked(right).withColumn("_salt", F.explode(salts)).drop("_hot")
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

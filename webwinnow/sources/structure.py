@@ -43,14 +43,14 @@ def lookup_structure(
     """Left join of pages to their stored structure, as ``stored_*`` columns (null = miss).
 
     ``population`` is the table *pages* was filtered from: hot URLs are counted
-    there, on the URL column alone.
+    there, on the URL column alone. Rows hold html, so a key is hot from 1,000 pages on.
     """
     stored = fresh_structure(latest_structure(structure), as_of, ttl_hours).select(
         "key", *[F.col(name).cast(kind).alias(f"stored_{name}") for name, kind in STORED.items()]
     )
     keyed = pages.withColumn("key", structure_key(F.col("url")))
     every = (pages if population is None else population).select(structure_key(F.col("url")).alias("key"))
-    return lookup_join(keyed, stored, "key", "page_id", population=every).drop("key")
+    return lookup_join(keyed, stored, "key", "page_id", hot_rows=1_000, population=every).drop("key")
 
 
 def structure_rows(extracted: DataFrame, as_of: str) -> DataFrame:
