@@ -145,3 +145,4 @@ T_BLOCK, T_PARA, T_BR, T_CELL, T_ROW, T_TABLE, T_NEWLINE = (
 T_HIDE, T_SHOW, T_SPACE, T_TAB = "\ufdd7", "\ufdd8", "\ufdd9", "\ufdda"
 M_PARA, M_LINE, M_LIST, M_BREAK, M_ITEM = "\ufddb", "\ufddc", "\ufddd", "\ufdde", "\ufddf"
 M_OPEN, M_CLOSE, M_END, M_STOP = "\ufde0", "\ufde1", "\ufde2", "\ufde3"
+T_HELD = "\ufde4"

@@ -8,6 +8,8 @@ sorted by ``s``, each with ``id``, ``last``, ``s`` and ``e``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
@@ -146,6 +148,8 @@ def no_spans() -> Column:
     return F.array().cast(_REMOVED)
 
 
+_RESERVED = "\ufdd0-\ufdef"  # no page text holds them: the tree builder replaces them
+
 # What the character markers stand for.
 PRESERVED = ((K.T_NEWLINE, "\n"), (K.T_TAB, "\t"), (K.T_SPACE, " "))
 _RENDERED = PRESERVED + ((K.T_BR, "\n"), (K.T_CELL, "\t"), (K.T_ROW, "\n"))
@@ -173,11 +177,38 @@ def join_tokens(tokens: Column, n: Column, gone: Column | None = None) -> Column
     )
 
 
+def collapsed(joined: Column) -> Column:
+    """Each run of white space as one space; texts without such a run skip the pattern."""
+    odd = joined.contains("  ")
+    for c in "\t\n\r\f":
+        odd = odd | joined.contains(c)
+    return F.when(odd, F.regexp_replace(joined, r"[\t\n\r\f][ \t\n\r\f]*+| [ \t\n\r\f]++", " ")).otherwise(joined)
+
+
+def between_text(joined: Column, resolve: Callable[[Column], Column], marks: str = "") -> Column:
+    """``resolve(joined)``, worked out with one character for each stretch of text, which is put back afterwards.
+
+    For *resolve* that changes markers and the spaces beside them only, so its patterns pass the markers and not the
+    text.  A stretch begins and ends with a visible character.  ``marks`` is the pattern of markers whose contents
+    are no text.
+    """
+    head = rf"(\G(?:{marks}[ {_RESERVED}])*+)"
+    text = rf"([^ {_RESERVED}](?:[^{_RESERVED}]*[^ {_RESERVED}])?)"
+    parts = F.split(resolve(F.regexp_replace(joined, head + text, "$1" + K.T_HELD)), K.T_HELD, -1)
+    texts = F.regexp_extract_all(joined, F.lit(head + text), F.lit(2))
+    return F.array_join(F.flatten(F.zip_with(parts, texts, lambda part, text: F.array(part, text))), "")
+
+
 def rendered_text(joined: Column) -> Column:
     """Resolve text tokens to what a browser reports as inner text."""
+    shown = F.when(
+        joined.contains(K.T_HIDE), F.regexp_replace(joined, f"{K.T_HIDE}[^{K.T_SHOW}]*{K.T_SHOW}", "")
+    ).otherwise(joined)
+    return let(F.trim(let(shown, collapsed)), lambda spaced: between_text(spaced, _broken))
+
+
+def _broken(spaced: Column) -> Column:
     soft = f"[{K.T_BLOCK}-{K.T_PARA}]"
-    shown = F.regexp_replace(joined, f"{K.T_HIDE}[^{K.T_SHOW}]*{K.T_SHOW}", "")
-    spaced = F.btrim(F.regexp_replace(shown, r"[\t\n\r\f][ \t\n\r\f]*| [ \t\n\r\f]+", " "), F.lit(" "))
     # No spaces beside a break, no separator after a last cell or a last row.
     lines = F.regexp_replace(spaced, f" ?([{K.T_BLOCK}-{K.T_NEWLINE}]) ?", "$1")
     cells = F.regexp_replace(lines, f"{K.T_CELL}(?={K.T_ROW})|{K.T_ROW}(?={K.T_TABLE})|{K.T_TABLE}", "")

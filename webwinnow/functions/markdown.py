@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from webwinnow import constants as K
 from webwinnow.functions.binding import let
-from webwinnow.functions.dom import PRESERVED, put_back
+from webwinnow.functions.dom import PRESERVED, between_text, collapsed, put_back
 from webwinnow.functions.text import strip
 
 # Break tokens end in M_STOP, inline marks in M_END. Repeated groups are possessive throughout: Java matches those in
@@ -15,6 +15,7 @@ _MARK = f"[^{K.M_END}]*+{K.M_END}"
 _BODY = f"[^{K.M_STOP}]*+{K.M_STOP}"
 _KEEP = f"([^{K.M_STOP}]*+){K.M_STOP}"
 _ANY = f"[{K.M_PARA}-{K.M_ITEM}]"
+_MARKS = f"{_ANY}{_BODY}|[{K.M_OPEN}-{K.M_CLOSE}]{_MARK}|"
 _SOFT = f"[{K.M_PARA}-{K.M_BREAK}]"
 _NOT_LIST = f"[{K.M_PARA}{K.M_LINE}{K.M_BREAK}{K.M_ITEM}]"
 _GAP = f"(?: |{_ANY}{_BODY})++"
@@ -31,8 +32,7 @@ _TIDY = (
     (f"{K.M_OPEN}{_MARK}{K.M_CLOSE}{_MARK}", ""),
 )
 _STEPS = (
-    ((r"[\t\n\r\f][ \t\n\r\f]*+| [ \t\n\r\f]++", " "),)
-    + _TIDY * 2
+    _TIDY * 2
     + (
         (f"[{K.M_OPEN}-{K.M_CLOSE}]([^{K.M_END}]*+){K.M_END}", "$1"),
         (f" ++(?={_ANY})|(?<={K.M_STOP}) ++", ""),
@@ -81,7 +81,10 @@ def renumbered(tok_m: Column, nodes: Column, gone: Column) -> Column:
 
 def markdown(joined: Column) -> Column:
     """Resolve Markdown tokens: ATX headings, ``-`` bullets, at most one blank line, stripped."""
+    return let(collapsed(joined), lambda spaced: strip(between_text(spaced, _resolved, _MARKS)))
+
+
+def _resolved(joined: Column) -> Column:
     for pattern, put in _STEPS:
         joined = F.regexp_replace(joined, pattern, put)
-    joined = put_back(joined, PRESERVED)
-    return strip(F.regexp_replace(joined, r"\n{3,}", "\n\n"))
+    return F.regexp_replace(put_back(joined, PRESERVED), r"\n{3,}", "\n\n")

@@ -14,6 +14,8 @@ _WIDE = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u200
 _PY_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85" + _WIDE
 JS_SPACE = "\t\n\x0b\x0c\r \ufeff" + _WIDE
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same set, laid out so that Java's matcher tells a letter by two tests instead of nine.
+_FAST_SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
 _LINE_ENDS = r"\r\n|[\n\r\x0b\f\x1c-\x1e\u0085\u2028\u2029]"
 
 
@@ -29,7 +31,7 @@ def trim_js(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Every white-space run becomes one space; ends are stripped."""
-    return strip(F.regexp_replace(c, f"{SPACE}+", " "))
+    return strip(F.regexp_replace(c, f"{_FAST_SPACE}+", " "))
 
 
 def folded(c: Column) -> Column:
@@ -57,7 +59,7 @@ def comma_count(c: Column) -> Column:
 
 def words(c: Column, limit: int = -1) -> Column:
     """White-space separated tokens, the text beyond ``limit`` - 1 tokens in one piece; [''] for blank text."""
-    return F.split(strip(c), f"{SPACE}+", limit)
+    return F.split(strip(c), f"{_FAST_SPACE}+", limit)
 
 
 def remove_boilerplate(c: Column) -> Column:

@@ -172,10 +172,10 @@ def _read_out(df: DataFrame) -> DataFrame:
     return df
 
 
-def full_path(dom: DataFrame) -> DataFrame:
-    """Map, score, prune, validate and read out."""
+def full_path(dom: DataFrame, lean: bool = False) -> DataFrame:
+    """Map, score, prune, validate and read out; ``lean`` leaves out what only metadata and structure rows show."""
     read = _read_out(validated(pruned(scored(mapped(dom)))))
-    return fixed_columns(read, (*PATH_COLUMNS, "html_title", "anti_bot"))
+    return fixed_columns(read, (*(TEXT_COLUMNS if lean else PATH_COLUMNS), "nodes", "html_title", "anti_bot"))
 
 
 PATH_COLUMNS = (
@@ -183,6 +183,8 @@ PATH_COLUMNS = (
     "validator_confidence", "validation_pass", "validation_warning", "scored_blocks", "gone", "pruned_static",
     "pruned_dynamic", "target", "embeds", "text_size", "merged_text",
 )
+#: What the text and the floors of a result need; a generator's columns are worked out whether they are read or not.
+TEXT_COLUMNS = ("gone", "target", "text_size", "merged_text")
 
 
 def cached_path(dom: DataFrame) -> DataFrame:
@@ -324,11 +326,11 @@ def finished(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def _run(pages: DataFrame, as_of: str, cached: bool) -> DataFrame:
+def _run(pages: DataFrame, as_of: str, cached: bool, lean: bool) -> DataFrame:
     dom = scanned(pages)
     if cached:
         return finished(cached_or_full(dom), as_of)
-    return finished(full_path(dom).withColumns({"structure_cache_hit": F.lit(False), "healed": F.lit(False)}), as_of)
+    return finished(full_path(dom, lean).withColumns({"structure_cache_hit": F.lit(False), "healed": F.lit(False)}), as_of)
 
 
 def extract(
@@ -339,6 +341,7 @@ def extract(
     ttl_hours: int = K.STRUCTURE_TTL_HOURS,
     web: DataFrame | None = None,
     lookup: Callable[[DataFrame], DataFrame] | None = None,
+    lean: bool = False,
 ) -> DataFrame:
     """Extract every page of ``(page_id, url, html)``; ``page_id`` is unique.
 
@@ -347,7 +350,8 @@ def extract(
     timestamp written into results and used for expiry.  Frames load from
     ``web``, by default *pages*.  Rows fail alone: the reason is in ``error``.
     ``lookup`` replaces the join with *structure* where pages and structure
-    are stored in the same buckets.
+    are stored in the same buckets.  ``lean`` is for readers of few columns: the
+    full path's confidences, counts and blocks are then worked out only if read.
     """
     from webwinnow.sources.structure import lookup_structure
 
@@ -360,12 +364,12 @@ def extract(
 
     no_embeds = F.lit(None).cast(EMBEDS)
     if not embeds:
-        return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, cached)
+        return _run(prepared(pages).withColumn("all_embeds", no_embeds), as_of, cached, lean)
     framed = has_frame(_c("html"))
     plain = prepared(pages.where(~framed)).withColumn("all_embeds", no_embeds)
     texts = cut_lineage(embed_texts(pages, web).withColumnRenamed("embeds", "all_embeds"))
     with_frames = prepared(pages.where(framed)).join(texts, "page_id", "left")
-    return _run(plain.unionByName(with_frames), as_of, cached)
+    return _run(plain.unionByName(with_frames), as_of, cached, lean)
 
 
 def extract_requested(
