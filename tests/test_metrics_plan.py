@@ -9,6 +9,7 @@ from webwinnow import constants as K
 from webwinnow.functions import dom
 from webwinnow.functions import markdown as md
 from webwinnow.functions.text import SPACE, collapse, strip
+from webwinnow.operators.embeds import embed_texts
 from webwinnow.plans import extract as X
 from webwinnow.plans.catalog import AS_OF, extract_metrics
 from webwinnow.sources import sinks
@@ -83,3 +84,13 @@ def test_patterns_pass_one_character_for_a_stretch_of_text(spark):
 def test_collapse_knows_every_space(spark):
     rows = [(f"x{chr(i)}{chr(i)}y",) for i in range(1, 0x3100)]
     _same(spark, rows, collapse(F.col("s")), strip(F.regexp_replace("s", f"{SPACE}+", " ")))
+
+
+def test_pages_without_frames_are_not_shuffled(spark):
+    schema = "page_id long, url string, html string"
+    with_frames, without = (spark.createDataFrame([p for p in PAGES if ("iframe" in (p[2] or "")) == x or p[0] == 1], schema) for x in (True, False))
+    got, none = embed_texts(with_frames), embed_texts(without)
+    assert [(r.page_id, len(r.embeds)) for r in got.collect()] == [(5, 1)] and none.collect() == []
+    assert got.schema.simpleString() == none.schema.simpleString()
+    plan = none._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan

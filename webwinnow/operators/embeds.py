@@ -71,11 +71,13 @@ def embed_texts(pages: DataFrame, web: DataFrame | None = None) -> DataFrame:
 
     Frames load from *web* (by default the same page table).  A frame whose
     source is not there, or whose body text is 100 characters or less, yields
-    nothing.
+    nothing.  Without a significant frame no page is looked up.
     """
     title, text = _target_columns()
     framed = pages.select("page_id", "url", "html").where(has_frame(F.col("html")))
     frames = cut_lineage(page_frames(scan_dom(framed)))
+    if frames.isEmpty():  # no page is asked for, so none is shuffled
+        return frames.select("page_id", F.lit(None).cast(EMBEDS).alias("embeds")).limit(0)
     sources = frames.select(F.col("src").alias("url")).distinct().withColumn("pos", F.xxhash64("url"))
     targets = (
         scan_dom(requested_pages(sources, pages if web is None else web).where(F.col("html").isNotNull()))
