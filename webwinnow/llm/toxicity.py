@@ -45,9 +45,10 @@ class Model:
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Feature hashes, two per word (the word, and its first four bytes), and the first of each row."""
+    """Feature hashes, two per word (the word, and its first four characters), and the first of each row."""
     data, offsets = normalised(*text_bytes(column))
-    starts, ends, first = word_spans(data, offsets)
+    # characters, of which those beyond the table of bytes are no white space
+    starts, ends, first = word_spans(np.minimum(data, 255).astype(np.uint8), offsets)
     features = np.empty(2 * len(starts), np.uint64)
     features[0::2] = word_hashes(data, starts, ends, lower=False)
     head = np.zeros(len(starts), np.uint64)
